@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.qa import find_passages, word_encoder
 from ..operators.rerank import collect_contexts
 from ..operators.search import search
+from ..plans.qa import find_hits, word_encoder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,9 +44,9 @@ def vectors(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
 
 
 def found(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
-    """The k closest passages of each question, with their texts."""
+    """The k closest passages of each question."""
     asked, texts = questions(spark, sf_dir), passages(spark, sf_dir)
-    return find_passages(texts, asked, k, word_encoder(), search)
+    return find_hits(texts, asked, k, word_encoder(), search)
 
 
 def records_with_contexts(spark: SparkSession, sf_dir: str, k: int = 5) -> DataFrame:

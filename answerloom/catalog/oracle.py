@@ -196,13 +196,18 @@ def token_f1(source: str, extra: str = "") -> str:
     )
     return f"""
 tokenized AS (
-  SELECT *, {answer_tokens('prediction')} AS pt, {answer_tokens('gold')} AS gt FROM {source}),
+  SELECT *, row_number() OVER () AS rid, {answer_tokens('prediction')} AS pt,
+    {answer_tokens('gold')} AS gt FROM {source}),
+token_counts AS (
+  SELECT rid, token, sum(p) AS p, sum(g) AS g
+  FROM (SELECT rid, unnest(pt) AS token, 1 AS p, 0 AS g FROM tokenized
+        UNION ALL SELECT rid, unnest(gt), 0, 1 FROM tokenized)
+  GROUP BY rid, token),
+multiset AS (SELECT rid, sum(least(p, g))::DOUBLE AS same FROM token_counts GROUP BY rid),
 shares AS (
   SELECT *, len(pt) AS np, len(gt) AS ng,
-    len(list_intersect(list_distinct(pt), list_distinct(gt)))::DOUBLE AS shared,
-    list_sum(list_transform(list_distinct(list_intersect(pt, gt)), lambda t: least(
-      len(list_filter(pt, lambda x: x = t)), len(list_filter(gt, lambda x: x = t)))))::DOUBLE AS same
-  FROM tokenized),
+    len(list_intersect(list_distinct(pt), list_distinct(gt)))::DOUBLE AS shared
+  FROM tokenized LEFT JOIN multiset USING (rid)),
 scores AS (
   SELECT *,
     CASE WHEN np = 0 OR ng = 0 THEN (np = ng)::INT::DOUBLE WHEN shared = 0 THEN 0.0
@@ -407,7 +412,7 @@ SELECT qid, question,
 FROM records JOIN sure USING (qid) JOIN top_reranked USING (qid)""",
     "batch_generate": f"""
 WITH {found(fixed.BASELINE_TOP_K)}
-SELECT qid, upper(question) AS prediction, {listed('ids')} AS context_ids
+SELECT qid, 'You ask: ' || question AS prediction, {listed('ids')} AS context_ids
 FROM records JOIN context_lists USING (qid)""",
     "batch_rerank": f"""
 WITH {found(fixed.RERANK_CANDIDATES)},
@@ -474,11 +479,11 @@ WITH {JUDGE_BASE}, {CAPPED},
 sharded AS (
   SELECT *, (row_number() OVER (PARTITION BY tag ORDER BY qid) - 1) // 5 AS shard,
     list_filter(regexp_split_to_array(question, '[{SPACE}]+'), lambda t: t <> '') AS qt,
-    list_filter(regexp_split_to_array(answer, '[{SPACE}]+'), lambda t: t <> '') AS at
+    list_filter(regexp_split_to_array(answer, '[{SPACE}]+'), lambda t: t <> '') AS ans
   FROM capped),
 judged AS (
   SELECT *, max(length(answer)) OVER (PARTITION BY tag, shard) > {ANSWER_LIMIT} AS failed,
-    len(list_intersect(list_distinct(qt), list_distinct(at)))::DOUBLE AS shared
+    len(list_intersect(list_distinct(qt), list_distinct(ans)))::DOUBLE AS shared
   FROM sharded),
 rows AS (
   SELECT tag, shard, failed,
@@ -500,12 +505,14 @@ UNION ALL
 SELECT tag, n, NULL, NULL, {r6('faithfulness')}, {r6('answer_relevancy')}, batch FROM summary""",
     "report_best_per_tag": f"""
 WITH {JUDGE_SCORES}, {shards(10, '_a')}, {shards(25, '_b')}, {shards(50, '_c')},
-runs AS (SELECT * FROM summary_a UNION ALL SELECT * FROM summary_b UNION ALL SELECT * FROM summary_c),
+runs AS (
+  SELECT tag, n, {METRICS6}, batch FROM (
+    SELECT * FROM summary_a UNION ALL SELECT * FROM summary_b UNION ALL SELECT * FROM summary_c)),
 best AS (
   SELECT *, row_number() OVER (PARTITION BY tag ORDER BY
     {', '.join(f'{m} DESC NULLS LAST' for m in METRICS)}) AS place
   FROM runs WHERE n > {fixed.MIN_REPORTED_ROWS})
-SELECT tag, n, {METRICS6}, batch FROM best WHERE place = 1""",
+SELECT tag, n, {', '.join(METRICS)}, batch FROM best WHERE place = 1""",
     "report_append": f"""
 WITH {JUDGE_SCORES}, {shards(25)}, {token_f1('records')}
 SELECT 'run' AS tag, count(*)::BIGINT AS n, {r6('avg(f1)', 'f1_mean')}, NULL::DOUBLE AS faithfulness FROM scores

@@ -12,20 +12,36 @@ from ..functions import fixed_values as fixed
 from ..functions import text as tx
 
 
-def with_passages(hits: DataFrame, passages: DataFrame, how: str = "inner") -> DataFrame:
-    """Attach the passage text to hits by id.
+def with_passages(hits: DataFrame, passages: DataFrame) -> DataFrame:
+    """Attach the passage columns to hits by id.
 
     Passage ids are unique, so only the hit side can be skewed (one passage found by
     many questions); adaptive execution splits such partitions of it.
     """
-    return hits.join(passages.select("pid", "passage"), "pid", how)
+    return hits.join(passages, "pid")
+
+
+def found_passages(hits: DataFrame, passages: DataFrame) -> DataFrame:
+    """The passages that occur among the hits, each once."""
+    return passages.join(hits.select("pid").distinct(), "pid", "left_semi")
+
+
+def add_words(passages: DataFrame) -> DataFrame:
+    """Add the distinct words that :func:`score_overlap` compares."""
+    return passages.withColumn("passage_words", F.array_distinct(tx.words(F.col("passage"))))
 
 
 def score_overlap(candidates: DataFrame, questions: DataFrame) -> DataFrame:
-    """Default pair scorer: the share of question words found in the passage."""
-    pairs = candidates.join(questions.select("qid", "question"), "qid")
-    score = tx.overlap_score(tx.words(F.col("question")), tx.words(F.col("passage")))
-    return pairs.withColumn("rerank_score", score).drop("question")
+    """Default pair scorer: the share of question words found in the passage.
+
+    Needs ``passage_words``, so that each text is split once, not once per pair.
+    """
+    asked = questions.select(
+        "qid", F.array_distinct(tx.words(F.col("question"))).alias("question_words")
+    )
+    score = tx.overlap_score(F.col("question_words"), F.col("passage_words"))
+    scored = candidates.join(asked, "qid").withColumn("rerank_score", score)
+    return scored.drop("question_words", "passage_words")
 
 
 def rerank(candidates: DataFrame, k: int = fixed.RERANK_TOP_K) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import corpus, profile, tokens, topics
+from ..shared import write_through
 
 PROFILE_COLUMNS = [
     "char_len", "word_len", "token_count", "non_ascii_pct", "punct_pct", "digits_pct",
@@ -28,7 +29,9 @@ def topic_report(
 ) -> tuple[DataFrame, DataFrame]:
     """Topic words, and the dominant topic of each passage."""
     documents = tokens.content_words(passages, stop_words=stop_words).select("id", "tokens")
+    documents = write_through(documents, "tokens")
     vectors, names = topics.count_vectors(documents, tokens.vocabulary(documents))
+    vectors = write_through(vectors.drop("tokens"), "counts")
     model = topics.fit_topics(vectors, **fit)
     return topics.topic_words(model, names), topics.dominant_topics(model, vectors)
 

@@ -18,6 +18,7 @@ from ..functions.text import SPACE
 from ..functions.vectors import encode_words
 from ..operators import prompts, qa_metrics, rerank
 from ..operators.search import search
+from ..shared import write_through
 
 Encoder = Callable[[DataFrame, str], DataFrame]  # adds ``embedding`` for a text column
 Finder = Callable[[DataFrame, DataFrame, int], DataFrame]  # hits of queries in passages
@@ -50,13 +51,29 @@ def echo_generator(limit: Column | int = DEFAULT_NEW_TOKENS) -> Generator:
     return answer
 
 
-def find_passages(
+def find_hits(
     passages: DataFrame, questions: DataFrame, k: int, encode: Encoder, find: Finder
 ) -> DataFrame:
-    """The k closest passages of each question, with their text."""
+    """The k closest passages of each question, stored: the search is the dearest step,
+    and what follows uses its few rows more than once."""
     queries = encode(questions.select("qid", "question"), "question").select("qid", "embedding")
-    vectors = encode(passages, "passage").select("pid", "embedding")
-    return rerank.with_passages(find(queries, vectors, k), passages)
+    vectors = encode(passages.select("pid", "passage"), "passage").select("pid", "embedding")
+    return write_through(find(queries, vectors, k), "hits")
+
+
+def find_candidates(
+    passages: DataFrame,
+    questions: DataFrame,
+    candidates: int,
+    encode: Encoder,
+    find: Finder,
+    score: Scorer,
+    prepare: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Scored candidates; ``prepare`` runs once per passage found, ``score`` per pair."""
+    hits = find_hits(passages, questions, candidates, encode, find)
+    texts = prepare(rerank.found_passages(hits, passages.select("pid", "passage")))
+    return score(rerank.with_passages(hits, texts), questions)
 
 
 def with_contexts(questions: DataFrame, contexts: DataFrame) -> DataFrame:
@@ -80,7 +97,8 @@ def answer_baseline(
     generate: Generator | None = None,
 ) -> DataFrame:
     """Retrieve, prompt, generate: ``(qid, question, prediction, gold, context_ids)``."""
-    hits = find_passages(passages, questions, top_k, encode or word_encoder(), find)
+    hits = find_hits(passages, questions, top_k, encode or word_encoder(), find)
+    hits = rerank.with_passages(hits, passages)
     asked = with_contexts(questions, rerank.collect_contexts(hits))
     prompt = prompts.build_prompt(F.col("question"), F.col("contexts"), system)
     answered = (generate or echo_generator())(asked.withColumn("prompt", prompt))
@@ -101,6 +119,7 @@ def answer_reranked(
     encode: Encoder | None = None,
     find: Finder = search,
     score: Scorer = rerank.score_overlap,
+    prepare: Callable[[DataFrame], DataFrame] = rerank.add_words,
     generate: Generator | None = None,
 ) -> DataFrame:
     """Retrieve widely, re-rank, gate by confidence, then prompt and generate.
@@ -108,8 +127,10 @@ def answer_reranked(
     Adds ``conf``, ``margin`` and ``low_conf`` to the baseline columns. With ``abstain``,
     unsure questions get no prompt and a fixed answer; their contexts are still reported.
     """
-    hits = find_passages(passages, questions, candidates, encode or word_encoder(), find)
-    ranked = rerank.rerank(score(hits, questions), top_k)
+    scored = find_candidates(
+        passages, questions, candidates, encode or word_encoder(), find, score, prepare
+    )
+    ranked = rerank.rerank(scored, top_k)
     contexts = rerank.collect_contexts(
         ranked, "rerank_rank", F.max("conf").alias("conf"), F.max("margin").alias("margin")
     )
@@ -145,7 +166,8 @@ def sweep(
 
     Passages are searched once, for the largest ``top_k``; each setting uses its share.
     """
-    hits = find_passages(passages, questions, max(top_ks), encode or word_encoder(), find)
+    hits = find_hits(passages, questions, max(top_ks), encode or word_encoder(), find)
+    hits = rerank.with_passages(hits, passages)
     asked = with_contexts(questions, rerank.collect_contexts(hits))
     settings = prompts.expand_grid(
         asked, strategy=strategies, top_k=top_ks, max_new_tokens=new_tokens
@@ -167,6 +189,7 @@ def sweep(
 
 def sweep_report(records: DataFrame, alpha: float = 0.05, with_squad: bool = True) -> DataFrame:
     """Comparison row per tag of :func:`sweep` records."""
-    keys = ["tag", "qid"]
-    squad = qa_metrics.squad_scores(records, keys) if with_squad else None
-    return qa_metrics.comparison_rows(qa_metrics.question_scores(records), alpha, squad, keys)
+    scores = qa_metrics.question_scores(records)
+    if with_squad:
+        scores = qa_metrics.squad_scores(scores, ["tag", "qid"], ("f1", "unknown"))
+    return qa_metrics.comparison_rows(scores, alpha)

@@ -19,6 +19,9 @@ TABLES = (
 ).split()
 
 
+SPARK_SECONDS: dict[str, float] = {}
+
+
 def connect(sf_dir: str):
     connection = duckdb.connect()
     for name in TABLES:
@@ -41,8 +44,10 @@ def as_rows(columns, rows):
 
 def differences(spark, connection, name: str, sf_dir: str) -> str | None:
     """None when both results agree, else what differs."""
+    start = time.time()
     frame = entry_points.queries()[name](spark, sf_dir)
     got = as_rows(frame.columns, [tuple(r) for r in frame.collect()])
+    SPARK_SECONDS[name] = time.time() - start
     sql = entry_points.oracle_sql().get(name)
     if sql is None:
         return None if got[1] else "no rows"
@@ -75,7 +80,7 @@ def main() -> None:
             problem = differences(spark, connection, name, sf_dir)
         except Exception as failure:
             problem = f"{type(failure).__name__}: {str(failure)[:1500]}"
-        print(f"{name:24s} {time.time() - start:6.1f}s {'ok' if problem is None else problem[:2500]}", flush=True)
+        print(f"{name:24s} {SPARK_SECONDS.get(name, 0):6.1f}s of {time.time() - start:6.1f}s {'ok' if problem is None else problem[:2500]}", flush=True)
 
 
 if __name__ == "__main__":
