@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.rerank import collect_contexts
 from ..operators.search import search
 from ..plans.qa import find_hits, word_encoder
+from ..shared import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def passages(spark: SparkSession, sf_dir: str, key: str = "pid") -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    return documents.select(F.col("doc_id").alias(key), F.col("text").alias("passage"))
+    return spread(documents.select(F.col("doc_id").alias(key), F.col("text").alias("passage")))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +41,8 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vectors(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias(key), "embedding")
+    embeddings = table(spark, sf_dir, "embeddings")
+    return spread(embeddings.select(F.col("vec_id").alias(key), "embedding"))
 
 
 def found(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:

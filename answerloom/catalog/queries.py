@@ -29,7 +29,7 @@ from ..operators import (
 )
 from ..plans import corpus as corpus_plans
 from ..plans import evaluate, qa
-from ..shared import fresh_path
+from ..shared import fresh_path, write_through
 from ..sources import tables, vector_table
 from . import data
 from .data import listed, six
@@ -539,6 +539,8 @@ def first_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prompt_grid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 27 settings of the sweep, scored and reported."""
     records = qa.sweep(data.passages(spark, sf_dir), data.questions(spark, sf_dir))
+    # Answers are stored before they are scored, as generating them is what costs.
+    records = write_through(records.select("tag", "qid", "prediction", "gold"), "answers")
     return qa.sweep_report(records).select(
         "tag", *_long("n"),
         *_sixes("f1_mean", "unknown_rate", "f1_lo", "f1_hi", "em_mean", "hf_f1"),
@@ -578,9 +580,13 @@ def _overlap_metrics(rows: DataFrame) -> DataFrame:
     )
 
 
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = _overlap_metrics(_judge_rows(spark, sf_dir))
+    return scored.select("tag", "qid", *fixed.JUDGE_METRICS)
+
+
 def _shards(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
-    scored = _overlap_metrics(_judge_rows(spark, sf_dir)).select("tag", "qid", *fixed.JUDGE_METRICS)
-    return judge.assign_shards(scored, [F.asc("qid")], batch)
+    return judge.assign_shards(_judged(spark, sf_dir), [F.asc("qid")], batch)
 
 
 @query
@@ -617,16 +623,16 @@ def judge_weighted_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.select("tag", *_long("n"), *_sixes(*fixed.JUDGE_METRICS))
 
 
-def _summary(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
+def _summary(judged: DataFrame, batch: int) -> DataFrame:
     return judge.judge_summary(
-        _shards(spark, sf_dir, batch), ctx_cap=fixed.CONTEXT_CAP, ctx_char_cap=0, batch=batch,
+        judge.assign_shards(judged, [F.asc("qid")], batch), ctx_cap=fixed.CONTEXT_CAP, ctx_char_cap=0, batch=batch,
         workers=4, judge="overlap",
     )
 
 
 @query
 def judge_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _summary(spark, sf_dir, 10).select(
+    return _summary(_judged(spark, sf_dir), 10).select(
         "tag", *_long("n"), *_sixes(*fixed.JUDGE_METRICS),
         *_long("ctx_cap", "ctx_char_cap", "batch", "workers"), "judge",
     )
@@ -676,7 +682,7 @@ def report_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = _comparison(spark, sf_dir, False).select(
         "tag", *_long("n"), *_sixes("f1_mean", "unknown_rate")
     )
-    judged = _summary(spark, sf_dir, 25).select(
+    judged = _summary(_judged(spark, sf_dir), 25).select(
         "tag", *_long("n"), *_sixes("faithfulness", "answer_relevancy"), *_long("batch")
     )
     return reports.union_rows(answers, judged)
@@ -685,7 +691,8 @@ def report_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def report_best_per_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of the runs with three batch sizes, the best of each tag; smaller runs left out."""
-    runs = reports.union_rows(*[_summary(spark, sf_dir, batch) for batch in (10, 25, 50)])
+    judged = write_through(_judged(spark, sf_dir), "judged")
+    runs = reports.union_rows(*[_summary(judged, batch) for batch in (10, 25, 50)])
     # Reports hold six places, so that equal runs compare as equal.
     runs = runs.withColumns({m: six(F.col(m)) for m in fixed.JUDGE_METRICS})
     runs = runs.withColumns({"ctx_max_chars": F.lit(None), "sample_n": F.lit(None)})
@@ -699,7 +706,7 @@ def report_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appends with different columns to a stored report, read back merged."""
     path = fresh_path(spark, "report")
     reports.append_rows(_comparison(spark, sf_dir, False).select("tag", "n", "f1_mean"), path)
-    reports.append_rows(_summary(spark, sf_dir, 25).select("tag", "n", "faithfulness"), path)
+    reports.append_rows(_summary(_judged(spark, sf_dir), 25).select("tag", "n", "faithfulness"), path)
     report = reports.read_report(spark, path)
     return report.select("tag", *_long("n"), *_sixes("f1_mean", "faithfulness"))
 

@@ -30,7 +30,7 @@ def topic_report(
     """Topic words, and the dominant topic of each passage."""
     documents = tokens.content_words(passages, stop_words=stop_words).select("id", "tokens")
     documents = write_through(documents, "tokens")
-    vectors, names = topics.count_vectors(documents, tokens.vocabulary(documents))
+    vectors, names = topics.count_vectors(documents)
     vectors = write_through(vectors.drop("tokens"), "counts")
     model = topics.fit_topics(vectors, **fit)
     return topics.topic_words(model, names), topics.dominant_topics(model, vectors)

@@ -35,3 +35,13 @@ def write_through(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when a table comes in fewer splits than there are cores.
+
+    One large file with one row group is one split, and all work on its rows would run in
+    one task. Tables of many splits are left as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
