@@ -141,14 +141,17 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
 
 def count_tags(df: DataFrame, tags: str) -> DataFrame:
     """Corpus totals of a map column of counts per tag, largest first."""
-    exploded = df.select(F.explode(tags).alias("tag", "times"))
+    # Outer, so that the map is not computed once more for an emptiness filter.
+    exploded = df.select(F.explode_outer(tags).alias("tag", "times"))
+    exploded = exploded.filter(F.col("tag").isNotNull())
     totals = exploded.groupBy("tag").agg(F.sum("times").alias("n"))
     return totals.orderBy(F.desc("n"), F.asc("tag"))
 
 
 def count_labels(df: DataFrame, entities: str) -> DataFrame:
     """Corpus totals per label of an array of (text, label), largest first."""
-    exploded = df.select(F.explode(entities).alias("entity"))
+    exploded = df.select(F.explode_outer(entities).alias("entity"))
+    exploded = exploded.filter(F.col("entity").isNotNull())
     totals = exploded.groupBy(F.col("entity.label").alias("label")).agg(
         F.count(F.lit(1)).alias("n")
     )

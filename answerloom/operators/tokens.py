@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
@@ -43,24 +44,51 @@ def vocabulary(
 
     Of those, the ``keep`` found in most documents stay, so the result is bounded.
     """
-    counts = (
-        documents.select(F.explode(F.array_distinct(tokens)).alias("token"))
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("docs"))
+    # The outer form keeps the optimizer from adding an emptiness filter, for which the
+    # whole tokenization would be computed a second time.
+    found = documents.select(F.explode_outer(F.array_distinct(tokens)).alias("token"))
+    counts = found.filter(F.col("token").isNotNull()).groupBy("token").agg(
+        F.count(F.lit(1)).alias("docs")
     )
     most = documents.agg(F.floor(F.count(F.lit(1)) * max_share).alias("most")).scalar()
     kept = counts.filter((F.col("docs") >= min_docs) & (F.col("docs") <= most))
     return kept.orderBy(F.desc("docs"), F.asc("token")).limit(keep)
 
 
+def count_vectors(
+    documents: DataFrame, words: DataFrame, tokens: str = "tokens", output: str = "features"
+) -> tuple[DataFrame, list[str]]:
+    """Add sparse counts of the vocabulary words; also returns the word of each position.
+
+    Counting is row by row. The counter is fitted on the vocabulary, one word per row, so
+    that it knows exactly these words without their passing through Python.
+    """
+    counter = CountVectorizer(inputCol=tokens, outputCol=output, minDF=1.0, vocabSize=1 << 30)
+    model = counter.fit(words.select(F.array("token").alias(tokens)))
+    return model.transform(documents), model.vocabulary
+
+
 def bag_of_words(
     documents: DataFrame, words: DataFrame, key: str = "id", tokens: str = "tokens"
 ) -> DataFrame:
     """Count of each vocabulary word per document, as rows ``(key, token, n)``.
 
-    The vocabulary is bounded by its ``keep`` and joined by broadcast, so a word that
-    occurs everywhere makes no task larger than others.
+    Documents are counted where they are, without a shuffle. The vocabulary is bounded by
+    its ``keep`` and joined by broadcast.
     """
-    exploded = documents.select(key, F.explode(tokens).alias("token"))
-    known = exploded.join(F.broadcast(words.select("token")), "token", "left_semi")
-    return known.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+    counted, names = count_vectors(documents, words, tokens, "_counts")
+    vector = counted.select(key, F.unwrap_udt("_counts").alias("v"))
+    entries = vector.select(key, F.explode_outer(F.arrays_zip("v.indices", "v.values")).alias("e"))
+    entries = entries.select(
+        key, F.col("e.indices").alias("position"), F.col("e.values").cast("long").alias("n")
+    )
+    lookup = word_table(documents.sparkSession, names)
+    return entries.join(F.broadcast(lookup), "position").select(key, "token", "n")
+
+
+def word_table(spark: SparkSession, names: list[str]) -> DataFrame:
+    """The words of a bounded vocabulary by ``position``."""
+    positions = pa.array(range(len(names)), pa.int32())
+    return spark.createDataFrame(
+        pa.table({"position": positions, "token": pa.array(names, pa.string())})
+    )

@@ -2,32 +2,13 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-
-
-def count_vectors(
-    documents: DataFrame,
-    min_docs: int = fixed.MIN_DOCS,
-    max_share: float = fixed.MAX_DOC_SHARE,
-    keep: int = fixed.VOCABULARY_SIZE,
-) -> tuple[DataFrame, list[str]]:
-    """Add sparse word counts as ``features``; also returns the word of each position.
-
-    The limits are those of :func:`answerloom.operators.tokens.vocabulary`, except that
-    beyond ``keep`` words the most used stay, not those in most documents.
-    """
-    counter = CountVectorizer(
-        inputCol="tokens", outputCol="features", minDF=min_docs, maxDF=max_share, vocabSize=keep
-    )
-    model = counter.fit(documents)
-    return model.transform(documents), model.vocabulary
+from .tokens import word_table
 
 
 def fit_topics(
@@ -59,9 +40,8 @@ def topic_words(
     terms = described.select(
         "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("at", "term")
     ).select("topic", (F.col("at") + 1).alias("rank"), "term.*")
-    numbered = pa.table({"termIndices": range(len(names)), "token": names})
-    table = described.sparkSession.createDataFrame(numbered)
-    return terms.join(table, "termIndices").select(
+    table = word_table(described.sparkSession, names)
+    return terms.join(table, F.col("termIndices") == F.col("position")).select(
         "topic", "rank", "token", F.col("termWeights").alias("weight")
     )
 

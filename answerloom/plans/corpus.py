@@ -20,8 +20,12 @@ def prepare_corpus(passages: DataFrame) -> DataFrame:
 
 
 def profile_corpus(passages: DataFrame) -> DataFrame:
-    """Summary of the length and quality columns."""
-    return profile.describe(corpus.quality_ratios(passages), PROFILE_COLUMNS)
+    """Summary of the length and quality columns.
+
+    The texts are measured once; the summary then goes over the stored numbers only.
+    """
+    measured = corpus.quality_ratios(passages).select(*PROFILE_COLUMNS)
+    return profile.describe(write_through(measured, "measures"), PROFILE_COLUMNS)
 
 
 def topic_report(
@@ -30,7 +34,7 @@ def topic_report(
     """Topic words, and the dominant topic of each passage."""
     documents = tokens.content_words(passages, stop_words=stop_words).select("id", "tokens")
     documents = write_through(documents, "tokens")
-    vectors, names = topics.count_vectors(documents)
+    vectors, names = tokens.count_vectors(documents, tokens.vocabulary(documents))
     vectors = write_through(vectors.drop("tokens"), "counts")
     model = topics.fit_topics(vectors, **fit)
     return topics.topic_words(model, names), topics.dominant_topics(model, vectors)

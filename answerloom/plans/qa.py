@@ -36,8 +36,10 @@ def word_encoder(dim: int = DEFAULT_DIM) -> Encoder:
 def leading_words(contexts: Column, limit: Column) -> Column:
     """The first ``limit`` words of the joined contexts: what an echoing model would say."""
     joined = F.array_join(F.transform(contexts, lambda c: c["passage"]), " ")
-    found = F.regexp_extract_all(F.coalesce(joined, F.lit("")), F.lit(f"[^{SPACE}]+"), F.lit(0))
-    return F.array_join(F.slice(found, F.lit(1), limit), " ")
+    text = F.regexp_replace(F.coalesce(joined, F.lit("")), f"^[{SPACE}]+", "")
+    # Splitting stops once there are enough words; the piece after them is the rest.
+    pieces = F.split(text, f"[{SPACE}]+", limit + 1)
+    return F.array_join(F.array_remove(F.slice(pieces, F.lit(1), limit), ""), " ")
 
 
 def echo_generator(limit: Column | int = DEFAULT_NEW_TOKENS) -> Generator:
