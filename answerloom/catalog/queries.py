@@ -488,7 +488,7 @@ def unknown_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def squad_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = qa_metrics.squad_scores(data.records(spark, sf_dir), ["qid"])
+    scores = qa_metrics.squad_scores(data.records(spark, sf_dir))
     return scores.select("qid", *_sixes("em", "squad_f1"))
 
 
@@ -503,14 +503,14 @@ def squad_last_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
         "gold",
     )
     latest = qa_metrics.last_predictions(turns, "pos")
-    return qa_metrics.squad_scores(latest, ["turn"]).select("turn", *_sixes("em", "squad_f1"))
+    return qa_metrics.squad_scores(latest).select("turn", *_sixes("em", "squad_f1"))
 
 
 def _comparison(spark: SparkSession, sf_dir: str, with_squad: bool) -> DataFrame:
     records = data.records(spark, sf_dir).withColumn("tag", F.lit("run"))
     scores = qa_metrics.question_scores(records)
     if with_squad:
-        scores = qa_metrics.squad_scores(scores, ["qid"], ("tag", "f1", "unknown"))
+        scores = qa_metrics.squad_scores(scores)
     return qa_metrics.comparison_rows(scores)
 
 

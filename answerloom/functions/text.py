@@ -89,6 +89,44 @@ def token_f1(predicted: Column, expected: Column) -> Column:
     )
 
 
+def multiset_overlap(left: Column, right: Column) -> Column:
+    """Tokens two arrays share, repeats included.
+
+    The tokens of both are sorted together, left ones first among equals, and folded
+    once: a right token counts while the left side has one to pair it with.
+    """
+
+    def sided(tokens, side):
+        return F.transform(
+            tokens, lambda t: F.struct(t.alias("token"), F.lit(side).alias("side"))
+        )
+
+    def fold(seen, x):
+        open_lefts = F.when(seen["token"] == x["token"], seen["open"]).otherwise(0)
+        is_left = x["side"] == 0
+        return F.struct(
+            x["token"].alias("token"),
+            F.when(is_left, open_lefts + 1).otherwise(open_lefts - 1).alias("open"),
+            (seen["shared"] + F.when(is_left | (open_lefts <= 0), 0).otherwise(1)).alias("shared"),
+        )
+
+    start = F.struct(
+        F.lit("").alias("token"), F.lit(0).alias("open"), F.lit(0).alias("shared")
+    )
+    tokens = F.sort_array(F.concat(sided(left, 0), sided(right, 1)))
+    return F.aggregate(tokens, start, fold, lambda seen: seen["shared"])
+
+
+def multiset_f1(predicted: Column, expected: Column) -> Column:
+    """F1 of two token arrays with repeats counted; 0 when they share nothing.
+
+    Twice the shared tokens over all tokens is the harmonic mean of both shares.
+    """
+    size = F.size(predicted) + F.size(expected)
+    shared = multiset_overlap(predicted, expected)
+    return F.coalesce(F.try_divide(2.0 * shared, size), F.lit(0.0))
+
+
 def unknown_flag(prediction: Column) -> Column:
     """1 when the answer admits not knowing, else 0."""
     lowered = F.lower(F.coalesce(prediction, F.lit("")))

@@ -196,5 +196,5 @@ def sweep_report(records: DataFrame, alpha: float = 0.05, with_squad: bool = Tru
     """Comparison row per tag of :func:`sweep` records."""
     scores = qa_metrics.question_scores(records)
     if with_squad:
-        scores = qa_metrics.squad_scores(scores, ["tag", "qid"], ("f1", "unknown"))
+        scores = qa_metrics.squad_scores(scores)
     return qa_metrics.comparison_rows(scores, alpha)
