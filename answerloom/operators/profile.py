@@ -44,6 +44,8 @@ def describe(df: DataFrame, columns: list[str], quantiles=QUARTILES) -> DataFram
         sketch(low).alias("low"),
         sketch(high).alias("high"),
     )
+    # In short columns the slack would be less than one rank: there, all values are ranked.
+    short = F.col("n") < 10 * _SKETCH
     # One row per column and quantile; columns and quantiles are parameters.
     bracket = summary.select(
         "column",
@@ -54,8 +56,8 @@ def describe(df: DataFrame, columns: list[str], quantiles=QUARTILES) -> DataFram
                     F.struct(
                         F.lit(i).alias("i"),
                         F.lit(float(q)).alias("q"),
-                        F.get("low", F.lit(i)).alias("low"),
-                        F.get("high", F.lit(i)).alias("high"),
+                        F.when(short, F.col("min")).otherwise(F.get("low", F.lit(i))).alias("low"),
+                        F.when(short, F.col("max")).otherwise(F.get("high", F.lit(i))).alias("high"),
                     )
                     for i, q in enumerate(quantiles)
                 ]
