@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import write_through
+
 QUARTILES = (0.25, 0.5, 0.75)
 _SKETCH = 10_000  # rank error of the sketch is one in this many
 
@@ -116,13 +118,15 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     values = df.select(F.col(column).cast("double").alias("value")).filter(
         F.col("value").isNotNull() & ~F.isnan("value")
     )
-    edges = values.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    # One pass over the input; edges and bins are taken from its distinct values.
+    counted = values.groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
+    counted = write_through(counted, "values")
+    edges = counted.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     flat = F.col("lo") == F.col("hi")
     edges = edges.select(
         F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
     )
-    counted = values.groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
     lo, hi = edges.select("lo").scalar(), edges.select("hi").scalar()
     slot = F.floor(F.try_divide((F.col("value") - lo) * bins, hi - lo)).cast("int")
     counts = counted.groupBy(F.least(slot, F.lit(bins - 1)).alias("bin")).agg(

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions import text as tx
+from ..shared import write_through
 
 
 def content_words(
@@ -50,9 +51,17 @@ def vocabulary(
     counts = found.filter(F.col("token").isNotNull()).groupBy("token").agg(
         F.count(F.lit(1)).alias("docs")
     )
+    # Far smaller than the texts and needed twice below.
+    counts = write_through(counts, "frequency")
     most = documents.agg(F.floor(F.count(F.lit(1)) * max_share).alias("most")).scalar()
     kept = counts.filter((F.col("docs") >= min_docs) & (F.col("docs") <= most))
-    return kept.orderBy(F.desc("docs"), F.asc("token")).limit(keep)
+    # The document count of the last word kept, from the number of words at each count:
+    # one row per distinct count. Only words at or above it are sorted.
+    levels = kept.groupBy("docs").agg(F.count(F.lit(1)).alias("words"))
+    reached = levels.withColumn("upto", F.sum("words").over(Window.orderBy(F.desc("docs"))))
+    last = reached.filter(F.col("upto") >= keep).agg(F.max("docs").alias("last"))
+    enough = kept.filter(F.col("docs") >= F.coalesce(last.scalar(), F.lit(0)))
+    return enough.orderBy(F.desc("docs"), F.asc("token")).limit(keep)
 
 
 def count_vectors(

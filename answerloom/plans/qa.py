@@ -75,9 +75,9 @@ def find_candidates(
     """Scored candidates; ``prepare`` runs once per passage found, ``score`` per pair."""
     hits = find_hits(passages, questions, candidates, encode, find)
     texts = prepare(rerank.found_passages(hits, passages.select("pid", "passage")))
-    # Placed as the join wants it, which also has each text prepared before it meets its
-    # hits; fused into the join, the preparation would be repeated per hit.
-    texts = texts.repartition("pid")
+    # Stored, so that a text is prepared once; fused into the join below, that would be
+    # repeated for every hit of it.
+    texts = write_through(texts, "found")
     return score(rerank.with_passages(hits, texts), questions)
 
 
