@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +24,6 @@ from ..operators import (
     scoring,
     search,
     tokens,
-    topics,
 )
 from ..plans import corpus as corpus_plans
 from ..plans import evaluate, qa
