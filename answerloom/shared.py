@@ -1,28 +1,30 @@
-"""The shared folder of the cluster, and tables written there to cut lineage."""
+"""The shared folder of the cluster, tables written there to cut lineage, and the package on workers."""
 
 from __future__ import annotations
 
-import tempfile
+import os
+import zipfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; local sessions may go without one."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="answerloom-")
-    context.setCheckpointDir(folder)
-    return folder
+    """Folder for stored steps: ``spark.checkpoint.dir``, else a folder of the session's warehouse.
+
+    Both are places that all executors reach; the caller's settings are read and never changed.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_steps"
+
+
+def session_folder(spark: SparkSession) -> str:
+    """Where the steps of this session lie, apart from those of others."""
+    return f"{shared_folder(spark).rstrip('/')}/answerloom-{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid4().hex}"
+    return f"{session_folder(spark)}/{name}-{uuid4().hex}"
 
 
 def write_through(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
@@ -37,6 +39,32 @@ def write_through(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_steps(spark: SparkSession) -> None:
+    """Delete all stored steps of this session; frames that still read them end with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the workers, once a session, so that its functions load anywhere.
+
+    Functions of a module reach a worker by name; a worker started in another folder finds
+    the module only in what was shipped.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_answerloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(context._temp_dir, "answerloom.zip")  # the driver's own folder of this session
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(target)  # the driver serves this file to the executors
+    context._answerloom_shipped = True
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Deal rows out to all cores when a table comes in fewer splits than there are cores.
 
