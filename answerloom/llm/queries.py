@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding, url_filters
+from ..shared import fresh_path
+from . import secret_scan, sharding, url_filters
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -74,3 +75,49 @@ SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document."""
     return sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
+
+
+# ------------------------------------------------------------------ 10
+
+
+@query
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by a ledger that starts empty. This method adds no spans."""
+    ledger = secret_scan.BlobLedger(spark, fresh_path(spark, "ledger"))
+    paths = ledger.ingest(table(spark, sf_dir, "documents"))
+    return ledger.report(paths).select(
+        F.col("path").alias("doc_id"),
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(F.col("spans").cast("binary"), 256).alias("base_sha256"),
+        "spans",
+    )
+
+
+_ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+ORACLE["op10_secret_scans"] = rf"""
+WITH rules(kind, place, pattern, grp, least) AS (VALUES
+  ('assign', 0, '{_ASSIGN}', 2, 6), ('access', 1, 'AKIA[A-Z0-9]+', 0, 20), ('hex', 2, '[0-9a-f]+', 0, 24)),
+texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+cut AS (
+  SELECT doc_id, kind, place, least, regexp_extract_all(t, pattern) AS found,
+         regexp_extract_all(t, pattern, grp) AS told, string_split_regex(t, pattern) AS gaps
+  FROM texts, rules WHERE regexp_matches(t, pattern)),
+pieces AS (
+  SELECT doc_id, kind, place, least, unnest(found) AS f, unnest(told) AS v,
+         unnest(gaps[:len(found)]) AS g, generate_subscripts(found, 1) AS i
+  FROM cut),
+placed AS (
+  SELECT *, sum(length(g) + length(f)) OVER (PARTITION BY doc_id, kind ORDER BY i)::BIGINT AS stop FROM pieces),
+spans AS (
+  SELECT doc_id, kind, place, stop - length(f) AS start, stop FROM placed WHERE length(v) >= least),
+told AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN told USING (doc_id)
+"""
