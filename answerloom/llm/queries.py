@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import fresh_path
-from . import secret_scan, sharding, url_filters
+from . import exact_dedup, secret_scan, sharding, url_filters
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -66,6 +66,23 @@ FROM judged
 """
 
 
+# ------------------------------------------------------------------ 2
+
+
+@query
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document."""
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_exact_dedup"] = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM n
+"""
+
+
 # ------------------------------------------------------------------ 6
 
 SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
