@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import fresh_path
-from . import exact_dedup, secret_scan, sharding, url_filters
+from . import bpe, exact_dedup, packing, secret_scan, sharding, url_filters
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -83,6 +84,26 @@ FROM n
 """
 
 
+# ------------------------------------------------------------------ 4 and 5
+
+
+def vocabulary() -> str:
+    """File of the public byte-level vocabulary that the two queries use."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded again."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
+
+
 # ------------------------------------------------------------------ 6
 
 SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
