@@ -21,6 +21,7 @@ import json
 from collections.abc import Iterator
 from functools import cache
 
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -172,7 +173,7 @@ def encode_texts(documents: DataFrame, vocabulary: str, text: str = "text", out:
     """``documents`` with the ids of each text in the array column ``out``."""
 
     @F.pandas_udf("array<int>")
-    def ids(batches: Iterator) -> Iterator:
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = codec(vocabulary)
         for texts in batches:
             yield texts.map(lambda t: encoder.encode(t or ""))
@@ -184,7 +185,7 @@ def decode_ids(rows: DataFrame, vocabulary: str, ids: str = "ids", out: str = "d
     """``rows`` with the text of each array of ids in the column ``out``; null ids are no ids."""
 
     @F.pandas_udf("string")
-    def texts(batches: Iterator) -> Iterator:
+    def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         decoder = codec(vocabulary)
         for lists in batches:
             yield lists.map(lambda x: decoder.decode([] if x is None else list(x)))

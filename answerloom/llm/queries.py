@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import fresh_path
-from . import bpe, exact_dedup, packing, secret_scan, sharding, url_filters
+from . import bpe, exact_dedup, packing, secret_scan, sharding, toxicity, url_filters
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -115,6 +115,16 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
 
 
+# ------------------------------------------------------------------ 8
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), labels)
+
+
 # ------------------------------------------------------------------ 10
 
 
