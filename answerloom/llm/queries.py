@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import fresh_path
-from . import bpe, exact_dedup, packing, secret_scan, sharding, toxicity, url_filters
+from . import bpe, exact_dedup, exact_topk, packing, secret_scan, sharding, toxicity, url_filters
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -84,6 +84,28 @@ FROM n
 """
 
 
+# ------------------------------------------------------------------ 3
+
+
+@query
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best other vectors for each vector whose id 50 divides."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), 5)
+
+
+ORACLE["op3_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
 # ------------------------------------------------------------------ 4 and 5
 
 
