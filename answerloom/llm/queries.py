@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import fresh_path
-from . import bpe, exact_dedup, exact_topk, packing, secret_scan, sharding, toxicity, url_filters
+from . import bpe, exact_dedup, exact_topk, jaccard_join, packing, secret_scan, sharding, toxicity, url_filters
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -147,6 +147,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), labels)
 
 
+# ------------------------------------------------------------------ 9
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of similar documents of every document: 4-word shingles, 85 of 100."""
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"), 4, 85)
+
+
 # ------------------------------------------------------------------ 10
 
 

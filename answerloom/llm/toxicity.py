@@ -35,8 +35,8 @@ from ..shared import write_through
 SIZES = (3, 4, 5)
 BUCKET_BITS = 20
 TRAIN_ROWS = 10_000  # labelled texts of each class, at most
-FEATURES = 20_000  # buckets that get a weight, at most
-LEAST_TEXTS = 3  # training texts that a bucket has to occur in
+FEATURES = 1_000  # buckets that get a weight, at most
+LEAST_TEXTS = 10  # training texts that a bucket has to occur in
 SMOOTHING = 1.0
 REGULARISATION = 1e-3
 STEPS = 40
