@@ -92,7 +92,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def token_sets(documents: DataFrame, text: str, id_column: str, size: int) -> DataFrame:
-    """(doc_id, cls, proof, n, row, grams) of each row; ``grams`` only where a task first meets a class.
+    """(doc_id, text_key, cls, proof, n, row, grams) of each row; ``grams`` only where a task first meets a class.
 
     ``cls`` and ``proof`` are two independent digests of the set, ``row`` numbers rows.
     """
@@ -102,7 +102,7 @@ def token_sets(documents: DataFrame, text: str, id_column: str, size: int) -> Da
         at = TaskContext.get().partitionId() << 40
         for batch in batches:
             cls, proof, n, grams = [], [], [], []
-            for content in batch.column(1).to_pylist():
+            for content in batch.column(2).to_pylist():
                 tokens = shingler.tokens(content)
                 packed = tokens.tobytes()
                 cls.append(xxhash.xxh3_64_intdigest(packed, 1))
@@ -114,13 +114,14 @@ def token_sets(documents: DataFrame, text: str, id_column: str, size: int) -> Da
             rows = np.arange(at, at + len(n), dtype=np.int64)
             at += len(n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *signed, pa.array(n, pa.int32()), pa.array(rows), pa.array(grams, pa.binary())], names=names
+                [batch.column(0), batch.column(1), *signed, pa.array(n, pa.int32()), pa.array(rows), pa.array(grams, pa.binary())], names=names
             )
 
-    schema = "doc_id long, cls long, proof long, n int, row long, grams binary"
+    schema = "doc_id long, text_key long, cls long, proof long, n int, row long, grams binary"
     names = [c.split()[0] for c in schema.split(", ")]
     content = F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t")
-    return documents.select(F.col(id_column).cast("long").alias("doc_id"), content).mapInArrow(run, schema)
+    rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), content)
+    return rows.mapInArrow(run, schema)
 
 
 def token_counts(sets: DataFrame) -> np.ndarray:
@@ -362,7 +363,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, orders: int) -> Da
 def similar_groups(
     documents: DataFrame, size: int, percent: int, text: str = "text", id_column: str = "doc_id", orders: int = ORDERS
 ) -> DataFrame:
-    """One row for each row of ``documents``: doc_id, n_shingles, component_id.
+    """One row for each row of ``documents``: doc_id, n_shingles, component_id, and a hash of the text.
 
     Two documents link when 100 times their common tokens are at least ``percent`` times all
     their tokens; ``component_id`` is the smallest id that links reach.
@@ -386,13 +387,15 @@ def similar_groups(
     placed = classes.join(roots, classes["cls"] == roots["node"], "left").select("cls", "doc", F.coalesce("root", "cls").alias("root"))
     least = placed.groupBy("root").agg(F.min("doc").alias("component_id"))
     known = placed.join(least, "root").select("cls", "component_id")
-    own = sets.select("doc_id", "cls", "n").join(known, "cls", "left")
+    own = sets.select("doc_id", "text_key", "cls", "n").join(known, "cls", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return own.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
+    return own.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), "text_key")
 
 
 def drop_similar(documents: DataFrame, size: int = 5, percent: int = 80, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """``documents`` with one document of each group, that of the smallest id, columns as they were."""
     groups = similar_groups(documents, size, percent, text, id_column)
-    dropped = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__dropped")).distinct()
-    return documents.join(dropped, documents[id_column] == dropped["__dropped"], "left_anti")
+    left_out = groups.filter(F.coalesce(F.col("doc_id") != F.col("component_id"), F.col("component_id").isNotNull()))
+    dropped = left_out.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    same = documents[id_column].eqNullSafe(dropped["__id"]) & (F.xxhash64(documents[text]) == dropped["__key"])
+    return documents.join(dropped, same, "left_anti")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import fresh_path
-from . import bpe, exact_dedup, exact_topk, jaccard_join, packing, secret_scan, sharding, toxicity, url_filters
+from . import bpe, exact_dedup, exact_topk, jaccard_join, packing, pii, secret_scan, sharding, toxicity, url_filters
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -137,6 +138,18 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
 
 
+# ------------------------------------------------------------------ 7
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document; the counts are those of the base patterns."""
+    documents = table(spark, sf_dir, "documents")
+    found = pii.personal_data(documents, pii.fit_field(documents))
+    digest = F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS], digest, "spans", "n_added")
+
+
 # ------------------------------------------------------------------ 8
 
 
@@ -153,7 +166,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of similar documents of every document: 4-word shingles, 85 of 100."""
-    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"), 4, 85)
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"), 4, 85).drop("text_key")
 
 
 # ------------------------------------------------------------------ 10
@@ -200,3 +213,16 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM texts LEFT JOIN told USING (doc_id)
 """
+
+
+# ------------------------------------------------------------------ pipeline
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline, each written and read again."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
