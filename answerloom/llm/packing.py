@@ -26,6 +26,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ from . import bpe
 
 CAPACITY = 2048
 CLOSING = 0  # the id that ends each document
+ROWS_AT_ONCE = 500
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -64,26 +66,29 @@ def tokenizer(path: str) -> Tokenizer:
 
 
 def pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY, text: str = "text", id_column: str = "doc_id", keep_ids: bool = False) -> DataFrame:
-    """Pieces of all documents; with ``keep_ids`` also their ids, as little-endian 32-bit binary."""
+    """Pieces of all documents; with ``keep_ids`` also their ids, as little-endian 32-bit binary.
+
+    ``part`` is the task that made a piece, ``within`` its place among the task's pieces of its length.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = tokenizer(vocabulary)
-        for batch in batches:
+        known, part, met = tokenizer(vocabulary), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        for batch in (b.slice(s, ROWS_AT_ONCE) for b in batches for s in range(0, b.num_rows, ROWS_AT_ONCE)):
             rows: list[tuple] = []
             for doc, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = np.append(known.ids(content), np.uint32(CLOSING)).astype("<u4")
                 first = (len(ids) - 1) % capacity + 1  # what is left beside full pieces
-                ends = range(first, len(ids) + 1, capacity)
-                for k, end in enumerate(ends):
+                for k, end in enumerate(range(first, len(ids) + 1, capacity)):
                     start = 0 if k == 0 else end - capacity
-                    part = ids[start:end].tobytes()
-                    rows.append((doc, k, start, end - start, zlib.crc32(part)) + ((part,) if keep_ids else ()))
-            columns = list(zip(*rows)) or [()] * (6 if keep_ids else 5)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                    packed = ids[start:end].tobytes()
+                    rows.append((doc, k, start, end - start, zlib.crc32(packed), part, met[end - start], packed if keep_ids else None))
+                    met[end - start] += 1
+            columns = list(zip(*rows))[: len(names)]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    schema = PIECE + (", ids binary" if keep_ids else "")
-    names = [part.split()[0] for part in schema.split(", ")]
+    schema = PIECE + ", part int, within long" + (", ids binary" if keep_ids else "")
+    names = [c.split()[0] for c in schema.split(", ")]
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     return rows.mapInArrow(run, schema)
 
@@ -184,22 +189,20 @@ def placements(groups: list[tuple[int, tuple]]) -> np.ndarray:
 
 
 def ranked(items: DataFrame) -> DataFrame:
-    """``items`` with ``rank``, their place from 0 among items of their length.
+    """Stored ``items`` with ``rank``, their place from 0 among all items of their length.
 
-    ``items`` is stored and holds ``part``, the partition that wrote it. Ranks count within
-    part and length; a table of counts by part and length gives what comes before.
+    A table of counts by part and length, a row for each pair, tells what comes before a part.
     """
     sizes = items.groupBy("part", "length").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    within = F.row_number().over(Window.partitionBy("part", "length").orderBy("doc_id", "piece"))
-    numbered = items.withColumn("within", within)
-    return numbered.join(before, ["part", "length"]).withColumn("rank", F.col("before") + F.col("within") - 1)
+    joined = items.join(before.hint("shuffle_hash"), ["part", "length"])
+    return joined.withColumn("rank", F.col("before") + F.col("within"))
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``; ``items`` holds what ``pieces`` returns."""
-    stored = write_through(items.withColumn("part", F.spark_partition_id()), "pieces")
+    stored = write_through(items, "pieces")
     counted = stored.groupBy("length").count().collect()  # a row a length: no more than the capacity
     table = placements(plan_sequences({r["length"]: r["count"] for r in counted}, capacity))
     keys = table[:, 0] << 44 | table[:, 1]
