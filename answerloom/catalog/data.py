@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.rerank import collect_contexts
 from ..operators.search import search
 from ..plans.qa import find_hits, word_encoder
-from ..shared import spread
+from ..shared import spread  # the given tables are single files with one row group
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions import fixed_values as fixed
-from .queries import ANSWER_LIMIT, DIM, STOP_WORDS
+from .queries import ANSWER_LIMIT, DIM, MAX_CHARS, STOP_WORDS
 
 SPACE = r"\s\x0b\x1c-\x1f\x85\p{Z}"
 WORD = r"\p{L}\p{N}_"
@@ -15,6 +15,10 @@ def r6(expression: str, name: str | None = None) -> str:
     return f"{rounded} AS {name}" if name else rounded
 
 
+def normal(text: str) -> str:
+    return f"translate(lower({text}), chr(10) || chr(9), '  ')"
+
+
 def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -80,8 +84,7 @@ frequency AS (SELECT token, count(DISTINCT id)::BIGINT AS docs FROM content GROU
 vocabulary AS (
   SELECT token, docs FROM frequency
   WHERE docs >= {fixed.MIN_DOCS}
-    AND docs <= (SELECT floor(count(*) * {fixed.MAX_DOC_SHARE}::DOUBLE) FROM documents)
-  ORDER BY docs DESC, token LIMIT {fixed.VOCABULARY_SIZE})
+    AND docs <= (SELECT floor(count(*) * {fixed.MAX_DOC_SHARE}::DOUBLE) FROM documents))
 """
 
 RECORDS = """
@@ -314,14 +317,19 @@ FROM rated"""
         for c in ["char_len", "word_len", "token_count", "non_ascii_pct", "punct_pct", "digits_pct"]
     ),
     "length_histogram": f"""
-WITH lengths AS (SELECT length(text)::DOUBLE AS v FROM documents),
-edges AS (SELECT min(v) AS lo, max(v) AS hi FROM lengths),
+WITH sizes AS (
+  SELECT unnest([{{'c': 'char_len', 'v': length(text)::DOUBLE}},
+    {{'c': 'norm_len', 'v': length({normal('text')})::DOUBLE}},
+    {{'c': 'token_count', 'v': {count_matches('text', f'[{WORD}]+|[^{WORD}{SPACE}]')}::DOUBLE}}]) AS s
+  FROM documents),
+edges AS (SELECT s.c AS "column", min(s.v) AS lo, max(s.v) AS hi FROM sizes GROUP BY 1),
 binned AS (
-  SELECT least(floor((v - lo) * 10 / (hi - lo)), 9)::BIGINT AS bin, count(*) AS n
-  FROM lengths, edges GROUP BY 1)
-SELECT b.range AS bin, coalesce(n, 0)::BIGINT AS n, {r6('lo + b.range * ((hi - lo) / 10)', 'bin_from')},
+  SELECT s.c AS "column", least(floor((s.v - lo) * 10 / (hi - lo)), 9)::BIGINT AS bin, count(*) AS n
+  FROM sizes JOIN edges ON s.c = "column" GROUP BY 1, 2)
+SELECT e."column", b.range AS bin, coalesce(n, 0)::BIGINT AS n, {r6('lo + b.range * ((hi - lo) / 10)', 'bin_from')},
   {r6('lo + (b.range + 1) * ((hi - lo) / 10)', 'bin_to')}
-FROM range(10) b CROSS JOIN edges LEFT JOIN binned ON binned.bin = b.range""",
+FROM range(10) b CROSS JOIN edges e LEFT JOIN binned ON binned.bin = b.range AND binned."column" = e."column"
+""",
     "batch_tags": rf"""
 SELECT doc_id AS id, {count_matches('text', '[A-Z][a-z]+|[0-9]+')} AS entities,
   nullif(regexp_extract(text, '[A-Z][a-z]+|[0-9]+'), '') AS first_entity,
@@ -356,14 +364,15 @@ SELECT doc_id AS id, length(text)::BIGINT AS chars,
   (length(text) - length(replace(text, ' ', '')) + 1)::BIGINT AS spaced,
   (length(text) - length(replace(text, chr(10), '')) + 1)::BIGINT AS lines
 FROM documents""",
-    "vector_table_stats": f"""
-SELECT 2 * count(*)::BIGINT AS row_count, 64::BIGINT AS min_dim, 64::BIGINT AS max_dim
-FROM documents JOIN embeddings ON vec_id = doc_id WHERE length(text) <= {fixed.MAX_PASSAGE_CHARS}""",
+    "vector_table_stats": """
+SELECT 2 * count(vec_id)::BIGINT AS row_count, 64::BIGINT AS min_dim, 64::BIGINT AS max_dim,
+  3 * (count(*) - count(vec_id))::BIGINT AS rejected
+FROM documents LEFT JOIN embeddings ON vec_id = doc_id""",
     "vector_rejects": f"""
 SELECT doc_id AS id,
-  CASE WHEN length(text) > {fixed.MAX_PASSAGE_CHARS} THEN 'passage too long' ELSE 'no vector' END AS problem
+  CASE WHEN length(text) > {MAX_CHARS} THEN 'passage too long' ELSE 'no vector' END AS problem
 FROM documents LEFT JOIN embeddings ON vec_id = doc_id
-WHERE length(text) > {fixed.MAX_PASSAGE_CHARS} OR vec_id IS NULL""",
+WHERE length(text) > {MAX_CHARS} OR vec_id IS NULL""",
     "context_join_left": f"""
 WITH {neighbours(2)}, lists AS (SELECT qid, list(pid ORDER BY rank) AS ids FROM hits GROUP BY qid)
 SELECT qid, {listed('ids')} AS context_ids, ids[1] AS top1_pid, text AS context_text
@@ -524,10 +533,29 @@ FROM documents""",
 SELECT doc_id, lang, (row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) - 1)::BIGINT AS pos
 FROM documents""",
     "scan_roundtrip": f"""
-WITH {RECORDS}
-SELECT 'passages csv' AS source, count(*)::BIGINT AS "rows", sum(length(text))::BIGINT AS chars FROM documents
-UNION ALL SELECT 'passages parquet', count(*), sum(length(text))::BIGINT FROM documents
-UNION ALL SELECT 'queries csv', count(*), sum(length(question))::BIGINT FROM records
-UNION ALL SELECT 'answers json', count(*), sum(length(coalesce(gold, '')))::BIGINT FROM records
-UNION ALL SELECT 'scores parquet', count(*), sum(length(qid))::BIGINT FROM records""",
+WITH {RECORDS}, {token_f1('records')}
+SELECT 'passages csv' AS source, doc_id::VARCHAR AS key, md5(text) AS text FROM documents
+UNION ALL SELECT 'passages parquet', doc_id::VARCHAR, md5(text) FROM documents
+UNION ALL SELECT 'queries csv',
+  (split_part(qid, '-', 1)::BIGINT * 1000 + split_part(qid, '-', 2)::BIGINT)::VARCHAR, md5(question) FROM records
+UNION ALL SELECT 'answers json', qid, md5(coalesce(gold, '')) FROM records
+UNION ALL SELECT 'scores parquet', qid, md5(unknown::VARCHAR) FROM scores""",
+    "lda_topics": f"""
+SELECT range::BIGINT AS topic, {fixed.TOPIC_WORDS}::BIGINT AS words, 1::BIGINT AS falling FROM range({fixed.TOPICS})""",
+    "dominant_topic": "SELECT doc_id AS id, 1::BIGINT AS sound FROM documents",
+    "leading_topic": f"""
+WITH squares AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * x::DOUBLE * 1e6) / 1e6::DOUBLE) AS s FROM embeddings),
+best AS (SELECT vec_id, list_max(s) AS m, list_position(s, list_max(s)) - 1 AS place FROM squares)
+SELECT vec_id AS id, CASE WHEN m >= {fixed.MIN_TOPIC_SHARE} THEN place END::BIGINT AS topic,
+  {r6(f'CASE WHEN m >= {fixed.MIN_TOPIC_SHARE} THEN m ELSE 0 END::DOUBLE', 'share')} FROM best""",
+    "ivf_recall": "SELECT 5 * count(*)::BIGINT AS expected, 1::BIGINT AS enough FROM embeddings",
+    "index_reuse": f"WITH {neighbours(5)} {VECTOR_HITS}",
+    "evaluate_run": f"""
+WITH {RECORDS}, {token_f1('records')}
+SELECT 'run' AS tag, count(*) FILTER (length(question) % 3 = 1)::BIGINT AS by_id,
+  count(*) FILTER (length(question) % 3 = 2)::BIGINT AS by_position, {comparison(True)} FROM scores""",
 }
+ORACLE["qa_indexed"] = ORACLE["qa_baseline"]
+ORACLE["judge_run"] = f"""
+SELECT *, 5::BIGINT AS batch, {fixed.CONTEXT_CAP}::BIGINT AS ctx_cap FROM ({ORACLE['batch_judge']}) WHERE tag = 'cap_5'"""

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import pandas as pd
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from ..operators import (
     scoring,
     search,
     tokens,
+    topics,
 )
 from ..plans import corpus as corpus_plans
 from ..plans import evaluate, qa
@@ -38,6 +41,8 @@ QUERIES: dict = {}
 STOP_WORDS = "the and for are was with this that from have has not but".split()
 TOKEN_SETTINGS = {"min_docs": fixed.MIN_DOCS, "max_share": fixed.MAX_DOC_SHARE}
 CELLS = 16
+LEAST_RECALL = 0.5  # of few probes, over the given vectors
+MAX_CHARS = 4096  # longest passage of the registered check of rows to be stored
 DIM = qa.DEFAULT_DIM
 
 
@@ -105,8 +110,8 @@ def column_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bins = corpus_plans.length_histogram(data.passages(spark, sf_dir, "id"))
-    return bins.select(*_long("bin", "n"), *_sixes("bin_from", "bin_to"))
+    bins = corpus_plans.length_histograms(data.passages(spark, sf_dir, "id"))
+    return bins.select("column", *_long("bin", "n"), *_sixes("bin_from", "bin_to"))
 
 
 def make_regex_tagger():
@@ -116,11 +121,10 @@ def make_regex_tagger():
     entity = re.compile("(?P<NAME>[A-Z][a-z]+)|(?P<NUMBER>[0-9]+)")
 
     def tag(text: str):
-        entities = [(m.group(), m.lastgroup) for m in entity.finditer(text)]
-        counts = pd.Series([m.lastgroup for m in part.finditer(text)], dtype=object).value_counts()
-        return entities, int(counts.sum()), {k: int(v) for k, v in counts.items()}
+        counts = Counter(m.lastgroup for m in part.finditer(text))
+        return [(m.group(), m.lastgroup) for m in entity.finditer(text)], counts.total(), dict(counts)
 
-    return tag
+    return lambda texts: [tag(t) for t in texts]
 
 
 @query
@@ -184,7 +188,7 @@ def content_tokens_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bag_of_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _content_words(spark, sf_dir)
+    documents = write_through(_content_words(spark, sf_dir), "tokens")
     words = tokens.vocabulary(documents, **TOKEN_SETTINGS)
     return tokens.bag_of_words(documents, words).select("id", "token", *_long("n"))
 
@@ -196,12 +200,33 @@ def _topic_model(spark: SparkSession, sf_dir: str):
 
 @query
 def lda_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _topic_model(spark, sf_dir)[0]
+    """What holds for any fit: each topic has its words at ranks 1 to 20, weights falling."""
+    words = _topic_model(spark, sf_dir)[0]
+    listed_words = F.array_sort(F.collect_list(F.struct("rank", "weight")))
+    topics = words.groupBy("topic").agg(listed_words.alias("w"), F.count_distinct("token").alias("words"))
+    ranks = F.forall(F.transform("w", lambda x, i: x["rank"] == i + 1), lambda ok: ok)
+    weights = F.col("w.weight")
+    falling = F.array_sort(weights) == F.reverse(weights)
+    return topics.select(*_long("topic", "words"), (ranks & falling).cast("int").cast("long").alias("falling"))
 
 
 @query
 def dominant_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _topic_model(spark, sf_dir)[1]
+    """What holds for any fit: each document has one topic, with a share between 1/5 and 1, or
+    no topic and no share if it has no word of the vocabulary."""
+    lead = _topic_model(spark, sf_dir)[1]
+    sound = F.col("topic").between(0, fixed.TOPICS - 1) & F.col("share").between(0.999 / fixed.TOPICS, 1.001)
+    sound = F.when(F.col("topic").isNull(), F.col("share") == 0).otherwise(sound)
+    return lead.select("id", F.coalesce(sound, F.lit(False)).cast("int").cast("long").alias("sound"))
+
+
+@query
+def leading_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Largest of the squares of a unit vector's components, as a topic's share; null below the limit."""
+    squares = F.transform("embedding", lambda x: F.floor(x.cast("double") * x.cast("double") * 1e6) / 1e6)
+    shares = data.vectors(spark, sf_dir, "id").select("id", array_to_vector(squares).alias("v"))
+    lead = topics.leading_topic(F.col("v"))
+    return shares.select("id", lead["topic"].cast("long").alias("topic"), six(lead["share"]).alias("share"))
 
 
 # ------------------------------------------------------------------ vectors
@@ -253,12 +278,22 @@ def ivf_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = search.search_cells(queries, cells, k=5, nprobe=4).select(
         "qid", "pid", F.lit(1).alias("found")
     )
+    recall = F.avg(F.coalesce("found", F.lit(0)))
     return exact.join(near, ["qid", "pid"], "left").agg(
-        F.count(F.lit(1)).alias("expected"), F.count("found").alias("found"),
-        six(F.avg(F.coalesce("found", F.lit(0)))).alias("recall"),
+        F.count(F.lit(1)).alias("expected"), (recall >= LEAST_RECALL).cast("int").cast("long").alias("enough"),
     )
 
 
+@query
+def index_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table of cells: built on half of the vectors, appended to, opened and searched."""
+    queries, passages = _both(spark, sf_dir)
+    path = fresh_path(spark, "index")
+    search.build_cells(passages.filter("pid % 2 = 0"), nlist=CELLS, path=path)
+    search.append_cells(passages.filter("pid % 2 = 1"), path)
+    return _hits(search.search_cells(queries, search.load_cells(spark, path), k=5, nprobe=2, exact=True))
+
+
 @query
 def l2_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     doubled = F.transform("embedding", lambda x: x.cast("double") * 3.0)
@@ -307,19 +342,19 @@ def _vector_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def vector_table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written twice with replacement, then appended to once: rows and dimensions."""
-    path = fresh_path(spark, "vectors")
+    """Written twice with replacement, then appended to once: rows, dimensions and rejects."""
+    path, rejects = fresh_path(spark, "vectors"), fresh_path(spark, "rejects")
     rows = _vector_rows(spark, sf_dir)
-    vector_table.write_vectors(rows, path, dim=64, drop_if_exists=True)
-    vector_table.write_vectors(rows, path, dim=64, drop_if_exists=True)
-    vector_table.write_vectors(rows, path, dim=64)
+    for replace in (True, True, False):
+        vector_table.write_vectors(rows, path, 64, replace, rejects=rejects)
     stats = vector_table.vector_stats(vector_table.read_vectors(spark, path))
-    return stats.select(*_long("row_count", "min_dim", "max_dim"))
+    rejected = spark.read.parquet(rejects).agg(F.count(F.lit(1)).alias("rejected"))
+    return stats.join(F.broadcast(rejected)).select(*_long("row_count", "min_dim", "max_dim", "rejected"))
 
 
 @query
 def vector_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = vector_table.check_rows(_vector_rows(spark, sf_dir), dim=64)
+    checked = vector_table.check_rows(_vector_rows(spark, sf_dir), 64, MAX_CHARS)
     return checked.filter(F.col("problem").isNotNull()).select("id", "problem")
 
 
@@ -415,6 +450,19 @@ def qa_reranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def qa_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Baseline run over a stored index."""
+    passages, path = data.passages(spark, sf_dir), fresh_path(spark, "index")
+    qa.build_index(passages, path, nlist=CELLS)
+    answers = qa.answer_baseline(
+        passages, data.questions(spark, sf_dir), index=search.load_cells(spark, path)
+    )
+    return answers.select(
+        "qid", "question", "prediction", "gold", listed(F.col("context_ids")).alias("context_ids")
+    )
+
+
 def make_parrot():
     """Stand-in for a user's generator model: repeats the question of the prompt."""
     return lambda texts: [
@@ -671,6 +719,46 @@ def batch_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.select("tag", *_long("n", "failed"), *_sixes(*metrics))
 
 
+@query
+def evaluate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers written with a qid, with an id only, or with neither; read, scored and reported."""
+    records = data.records(spark, sf_dir).withColumn("sort", F.length("question") % 3)
+    answers = records.select(
+        F.when(F.col("sort") == 0, F.col("qid")).alias("qid"),
+        F.when(F.col("sort") == 1, F.concat(F.lit("id-"), "qid")).alias("id"),
+        "question", "prediction", "gold", F.array(F.lit(1), F.lit(2)).alias("context_ids"),
+    )
+    path, report = fresh_path(spark, "answers"), fresh_path(spark, "report")
+    tables.write_results(answers, path)
+    scores = evaluate.evaluate_answers(spark, path, "run", report)
+    kinds = scores.agg(
+        F.count_if(F.col("qid").startswith("id-")).alias("by_id"),
+        F.count_if(F.col("qid").rlike("^[0-9]+$")).alias("by_position"),
+    )
+    row = reports.read_report(spark, report).join(F.broadcast(kinds))
+    return row.select(
+        "tag", *_long("n", "by_id", "by_position"),
+        *_sixes("f1_mean", "unknown_rate", "f1_lo", "f1_hi", "em_mean", "hf_f1"),
+    )
+
+
+@query
+def judge_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored answers read again, judged in shards of 5, with report and scores stored."""
+    path, report = fresh_path(spark, "answers"), fresh_path(spark, "report")
+    tables.write_results(data.records_with_contexts(spark, sf_dir), path)
+    passages = tables.passage_lookup(data.passages(spark, sf_dir, "id"))
+    scores = fresh_path(spark, "scores")
+    metrics = ["answer_relevancy", "faithfulness"]
+    evaluate.judge_answers(
+        tables.load_results(spark, path), passages, make_word_judge, "cap_5", metrics, batch=5,
+        report=report, scores_path=scores,
+    )
+    failed = spark.read.parquet(scores).groupBy("tag").agg(F.count("error").alias("failed"))
+    row = reports.read_report(spark, report).join(failed, "tag")
+    return row.select("tag", *_long("n", "failed"), *_sixes(*metrics), *_long("batch", "ctx_cap"))
+
+
 # ------------------------------------------------------------------ reports
 
 
@@ -733,14 +821,10 @@ def shard_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every format written and read back: rows and total text length of each."""
+    """Every format written and read back, row by row."""
 
-    def totals(df, source, column):
-        return df.agg(
-            F.lit(source).alias("source"),
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(F.length(column)).alias("chars"),
-        )
+    def rows(df, source, key, text):
+        return df.select(F.lit(source).alias("source"), F.col(key).cast("string").alias("key"), F.md5(text).alias("text"))
 
     def stored(df, name, write):
         path = fresh_path(spark, name)
@@ -748,10 +832,11 @@ def scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         return path
 
     passages, records = data.passages(spark, sf_dir, "id"), data.records(spark, sf_dir)
-    asked = records.select(F.monotonically_increasing_id().alias("id"), "question", F.col("gold").alias("answer"))
+    number = F.split("qid", "-")
+    number = (number[0].cast("long") * 1000 + number[1].cast("long")).alias("id")
+    asked = records.select(number, "question", F.col("gold").alias("answer"))
     answers = records.select(
-        F.xxhash64("qid").alias("qid"), "question", "prediction", "gold",
-        F.array(F.lit(1).cast("long")).alias("context_ids"),
+        "qid", "question", "prediction", "gold", F.array(F.lit(1).cast("long")).alias("context_ids")
     )
     scores = qa_metrics.question_scores(records).select(F.lit("run").alias("tag"), "qid", "f1", "unknown")
 
@@ -761,9 +846,9 @@ def scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     parquet = stored(passages, "passages", lambda df, path: df.write.parquet(path))
     dump = stored(scores, "scores", tables.write_scores)
     return reports.union_rows(
-        totals(tables.load_passages(spark, passages_csv), "passages csv", "passage"),
-        totals(tables.load_queries(spark, queries_csv), "queries csv", "question"),
-        totals(tables.load_results(spark, lines), "answers json", "gold"),
-        totals(tables.load_parquet(spark, parquet, "position"), "passages parquet", "passage"),
-        totals(spark.read.parquet(dump), "scores parquet", "qid"),
-    ).select("source", *_long("rows", "chars"))
+        rows(tables.load_passages(spark, passages_csv), "passages csv", "id", F.col("passage")),
+        rows(tables.load_queries(spark, queries_csv), "queries csv", "id", F.col("question")),
+        rows(tables.load_results(spark, lines), "answers json", "qid", F.col("gold")),
+        rows(tables.load_parquet(spark, parquet, "position"), "passages parquet", "id", F.col("passage")),
+        rows(spark.read.parquet(dump), "scores parquet", "qid", F.col("unknown").cast("string")),
+    )

@@ -74,8 +74,7 @@ RERANK_CANDIDATES = 50
 RERANK_TOP_K = 5
 BASELINE_TOP_K = 3
 
-# Vector table and cell search settings.
-MAX_PASSAGE_CHARS = 4096
+# Cell search settings.
 NLIST = 1024
 NPROBE = 16
 
@@ -84,13 +83,18 @@ JUDGE_METRICS = ("faithfulness", "context_precision", "context_recall", "answer_
 JUDGE_BATCH = 25
 CONTEXT_CAP = 5
 
-# Vocabulary limits (documents, share of documents, words kept) and topics.
+# Columns of a corpus profile.
+PROFILE_COLUMNS = (
+    "char_len", "word_len", "token_count", "non_ascii_pct", "punct_pct", "digits_pct",
+)
+
+# Vocabulary limits (documents, share of documents) and topics.
 MIN_DOCS = 2
 MAX_DOC_SHARE = 0.8
-VOCABULARY_SIZE = 100_000
 TOPICS = 5
 TOPIC_SEED = 42
 TOPIC_PASSES = 10
+TOPIC_BATCH_SHARE = 0.25
 TOPIC_WORDS = 20
 MIN_TOPIC_SHARE = 0.1
 

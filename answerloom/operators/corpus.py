@@ -48,14 +48,12 @@ def count_copies(passages: DataFrame, text: str = "passage") -> DataFrame:
 def drop_all_copies(passages: DataFrame, text: str = "passage") -> DataFrame:
     """Keep only passages without a copy; of a group of copies none stays.
 
-    One aggregation and one shuffle: a digest seen once carries its own row, and copies
-    collapse on the map side before they are shuffled.
+    Only digests are counted, combined before the shuffle. Texts are kept by an anti join
+    on the digests that occur more than once, which leaves them in place if those are few.
     """
-    row = F.struct(*passages.columns)
-    groups = passages.groupBy(_copy_digest(text).alias("digest")).agg(
-        F.count(F.lit(1)).alias("copies"), F.first(row).alias("row")
-    )
-    return groups.filter(F.col("copies") == 1).select("row.*")
+    digest = F.coalesce(_copy_digest(text), F.lit(""))
+    copied = passages.groupBy(digest.alias("_copied")).count().filter("count > 1").select("_copied")
+    return passages.join(copied, digest == F.col("_copied"), "left_anti")
 
 
 def drop_short(passages: DataFrame, text: str = "passage") -> DataFrame:

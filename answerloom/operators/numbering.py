@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..shared import write_through
 
-_PART_BITS = 33  # layout of monotonically_increasing_id: partition above, row below
-
 
 def number_rows(
     df: DataFrame, order_by: list[Column], output: str = "pos", within: str | None = None
@@ -21,9 +19,13 @@ def number_rows(
     """
     keys = ([F.col(within)] if within else []) + list(order_by)
     group = F.col(within) if within else F.lit(0)
-    placed = df.orderBy(*keys).withColumn("_place", F.monotonically_increasing_id())
-    placed = write_through(placed.withColumn("_group", group), "numbered")
-    placed = placed.withColumn("_part", F.shiftright("_place", _PART_BITS))
+    placed = df.orderBy(*keys).select(
+        "*",
+        F.monotonically_increasing_id().alias("_place"),
+        F.spark_partition_id().alias("_part"),
+        group.alias("_group"),
+    )
+    placed = write_through(placed, "numbered")
 
     # Every partition holds one run of each group, so its first place is its offset.
     runs = placed.groupBy("_group", "_part").agg(

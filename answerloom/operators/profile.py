@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..shared import write_through
 
 QUARTILES = (0.25, 0.5, 0.75)
-_SKETCH = 10_000  # rank error of the sketch is one in this many
 
 
 def _melt(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -24,83 +23,50 @@ def _melt(df: DataFrame, columns: list[str]) -> DataFrame:
 def describe(df: DataFrame, columns: list[str], quantiles=QUARTILES) -> DataFrame:
     """Count, mean, std, min, exact interpolated quantiles and max of each column.
 
-    Exact quantiles without gathering a column: a sketch brackets each quantile between
-    two values; values are counted below the bracket and ranked only inside it. The
-    bracket spans a few in ``_SKETCH`` of the rows, with equal values pre-counted, and is
-    guaranteed by the sketch's error bound to hold the ranks looked for.
+    Different values with their row counts are range-partitioned and stored; the rows of
+    earlier partitions give each its first rank, and the values at the ranks looked for
+    are picked. No partition holds a whole column, whatever its size.
     """
+    columns = list(columns)
     values = _melt(df, columns)
-    slack = 2.0 / _SKETCH
-    low = [max(0.0, q - slack) for q in quantiles]
-    high = [min(1.0, q + slack) for q in quantiles]
-
-    def sketch(points):
-        return F.percentile_approx("value", points, _SKETCH)
-
+    counted = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
+    ranged = counted.repartitionByRange("column", "value").withColumn("part", F.spark_partition_id())
+    ranged = write_through(ranged, "values")
+    runs = ranged.groupBy("column", "part").agg(F.sum("rows").alias("rows"))
+    earlier = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = runs.select("column", "part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
     summary = values.groupBy("column").agg(
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-        sketch(low).alias("low"),
-        sketch(high).alias("high"),
     )
-    # In short columns the slack would be less than one rank: there, all values are ranked.
-    short = F.col("n") < 10 * _SKETCH
-    # One row per column and quantile; columns and quantiles are parameters.
-    bracket = summary.select(
-        "column",
-        "n",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("i"),
-                        F.lit(float(q)).alias("q"),
-                        F.when(short, F.col("min")).otherwise(F.get("low", F.lit(i))).alias("low"),
-                        F.when(short, F.col("max")).otherwise(F.get("high", F.lit(i))).alias("high"),
-                    )
-                    for i, q in enumerate(quantiles)
-                ]
-            )
-        ).alias("b"),
-    ).select("column", "n", "b.*")
-
-    counted = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
-    placed = counted.join(F.broadcast(bracket), "column")
-    at = F.col("q") * (F.col("n") - 1)
-    left_rank, right_rank = F.floor(at), F.ceil(at)
-
-    outside = placed.groupBy("column", "i").agg(
-        F.sum(F.when(F.col("value") < F.col("low"), F.col("rows")).otherwise(0)).alias("below"),
-        F.min(F.when(F.col("value") > F.col("high"), F.col("value"))).alias("next"),
-    )
-    running = Window.partitionBy("column", "i").orderBy("value")
-    inside = (
-        placed.filter(F.col("value").between(F.col("low"), F.col("high")))
-        .withColumn("upto", F.sum("rows").over(running))
-        .join(F.broadcast(outside), ["column", "i"])
-        .withColumn("upto", F.col("upto") + F.col("below"))
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(quantiles)])
+    # A row for each column and quantile; both are parameters.
+    targets = summary.select("column", "n", F.explode(wanted).alias("w")).select(
+        "column", "w.i", (F.col("w.q") * (F.col("n") - 1)).alias("at")
     )
-    missed = F.when(
-        F.max("below") > F.max(left_rank), F.raise_error("quantile outside its bracket")
+    within = Window.partitionBy("column", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("within", F.coalesce(F.sum("rows").over(within), F.lit(0)))
+    first = F.col("before") + F.col("within")
+    ranks = placed.join(before, ["column", "part"]).select(
+        "column", "value", first.alias("first"), (first + F.col("rows")).alias("end")
     )
-    reached = inside.groupBy("column", "i").agg(
-        F.min(F.when(F.col("upto") > left_rank, F.col("value"))).alias("left"),
-        F.coalesce(
-            F.min(F.when(F.col("upto") > right_rank, F.col("value"))), F.min("next")
-        ).alias("right"),
-        F.coalesce(missed.cast("double"), F.max(at - left_rank)).alias("part"),
+    left, right = F.floor("at"), F.ceil("at")
+    holds = lambda rank: (F.col("first") <= rank) & (rank < F.col("end"))
+    reached = ranks.join(F.broadcast(targets), "column").filter(holds(left) | holds(right))
+    reached = reached.groupBy("column", "i").agg(
+        F.max(F.when(holds(left), F.col("value"))).alias("left"),
+        F.max(F.when(holds(right), F.col("value"))).alias("right"),
+        F.max(F.col("at") - left).alias("part"),
     )
     value = F.col("left") + (F.col("right") - F.col("left")) * F.col("part")
-    quantile_columns = [
-        F.max(F.when(F.col("i") == i, value)).alias(_quantile_name(q))
-        for i, q in enumerate(quantiles)
-    ]
-    quantile_table = reached.groupBy("column").agg(*quantile_columns)
     names = [_quantile_name(q) for q in quantiles]
-    return summary.join(F.broadcast(quantile_table), "column").select(
+    table = reached.groupBy("column").agg(
+        *[F.max(F.when(F.col("i") == i, value)).alias(name) for i, name in enumerate(names)]
+    )
+    return summary.join(F.broadcast(table), "column").select(
         "column", "n", "mean", "std", "min", *names, "max"
     )
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions import text as tx
-from ..shared import write_through
 
 
 def content_words(
@@ -39,11 +38,11 @@ def vocabulary(
     tokens: str = "tokens",
     min_docs: int = fixed.MIN_DOCS,
     max_share: float = fixed.MAX_DOC_SHARE,
-    keep: int = fixed.VOCABULARY_SIZE,
+    keep: int | None = None,
 ) -> DataFrame:
     """Words in at least ``min_docs`` documents and at most ``max_share`` of them.
 
-    Of those, the ``keep`` found in most documents stay, so the result is bounded.
+    With ``keep``, only the ``keep`` of them that most documents hold.
     """
     # The outer form keeps the optimizer from adding an emptiness filter, for which the
     # whole tokenization would be computed a second time.
@@ -51,17 +50,9 @@ def vocabulary(
     counts = found.filter(F.col("token").isNotNull()).groupBy("token").agg(
         F.count(F.lit(1)).alias("docs")
     )
-    # Far smaller than the texts and needed twice below.
-    counts = write_through(counts, "frequency")
     most = documents.agg(F.floor(F.count(F.lit(1)) * max_share).alias("most")).scalar()
     kept = counts.filter((F.col("docs") >= min_docs) & (F.col("docs") <= most))
-    # The document count of the last word kept, from the number of words at each count:
-    # one row per distinct count. Only words at or above it are sorted.
-    levels = kept.groupBy("docs").agg(F.count(F.lit(1)).alias("words"))
-    reached = levels.withColumn("upto", F.sum("words").over(Window.orderBy(F.desc("docs"))))
-    last = reached.filter(F.col("upto") >= keep).agg(F.max("docs").alias("last"))
-    enough = kept.filter(F.col("docs") >= F.coalesce(last.scalar(), F.lit(0)))
-    return enough.orderBy(F.desc("docs"), F.asc("token")).limit(keep)
+    return kept if keep is None else kept.orderBy(F.desc("docs"), F.asc("token")).limit(keep)
 
 
 def count_vectors(
@@ -69,7 +60,8 @@ def count_vectors(
 ) -> tuple[DataFrame, list[str]]:
     """Add sparse counts of the vocabulary words; also returns the word of each position.
 
-    Counting is row by row. The counter is fitted on the vocabulary, one word per row, so
+    For models over count vectors, whose words the driver holds: give the vocabulary a
+    ``keep`` where its size is not known. Counting is row by row. The counter is fitted on the vocabulary, one word per row, so
     that it knows exactly these words without their passing through Python.
     """
     counter = CountVectorizer(inputCol=tokens, outputCol=output, minDF=1.0, vocabSize=1 << 30)
@@ -82,17 +74,12 @@ def bag_of_words(
 ) -> DataFrame:
     """Count of each vocabulary word per document, as rows ``(key, token, n)``.
 
-    Documents are counted where they are, without a shuffle. The vocabulary is bounded by
-    its ``keep`` and joined by broadcast.
+    A document's words are counted in its own task before the shuffle. The vocabulary may
+    have any size: it is joined by word, and a word is one row a document there.
     """
-    counted, names = count_vectors(documents, words, tokens, "_counts")
-    vector = counted.select(key, F.unwrap_udt("_counts").alias("v"))
-    entries = vector.select(key, F.explode_outer(F.arrays_zip("v.indices", "v.values")).alias("e"))
-    entries = entries.select(
-        key, F.col("e.indices").alias("position"), F.col("e.values").cast("long").alias("n")
-    )
-    lookup = word_table(documents.sparkSession, names)
-    return entries.join(F.broadcast(lookup), "position").select(key, "token", "n")
+    spread_out = documents.select(key, F.explode_outer(tokens).alias("token"))
+    counted = spread_out.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(words.select("token"), "token", "left_semi").select(key, "token", "n")
 
 
 def word_table(spark: SparkSession, names: list[str]) -> DataFrame:

@@ -16,9 +16,12 @@ def fit_topics(
     topics: int = fixed.TOPICS,
     seed: int = fixed.TOPIC_SEED,
     passes: int = fixed.TOPIC_PASSES,
-    batch_share: float = 1.0,
+    batch_share: float = fixed.TOPIC_BATCH_SHARE,
 ) -> LDAModel:
-    """Online LDA with a learnt document prior; each step sees ``batch_share`` of the rows."""
+    """Online LDA with a learnt document prior.
+
+    Each step draws ``batch_share`` of the rows; ``passes`` is how often a row is drawn on average.
+    """
     steps = max(1, round(passes / batch_share))
     lda = LDA(
         k=topics,

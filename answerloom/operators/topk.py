@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 
 GRID = 1e9
 SCORE_CELLS = 4_000_000  # scores held at once: 32 MB of doubles
@@ -17,8 +18,12 @@ def dense(column) -> np.ndarray:
     """Matrix of a list column; all lists must have the same length."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    values = np.asarray(column.flatten(), dtype="float64")
-    return values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+    if not len(column):
+        return np.zeros((0, 0))
+    lengths = np.unique(pa.compute.list_value_length(column).to_numpy(zero_copy_only=False))
+    if len(lengths) > 1:
+        raise ValueError(f"vectors of different lengths: {lengths[0]:g} and {lengths[-1]:g}")
+    return np.asarray(column.flatten(), dtype="float64").reshape(len(column), -1)
 
 
 def closeness(queries: np.ndarray, passages: np.ndarray, metric: str) -> np.ndarray:

@@ -2,30 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as fixed
+from ..functions import text as tx
 from ..operators import corpus, profile, tokens, topics
 from ..shared import write_through
-
-PROFILE_COLUMNS = [
-    "char_len", "word_len", "token_count", "non_ascii_pct", "punct_pct", "digits_pct",
-]
+from ..sources import tables
 
 
 def prepare_corpus(passages: DataFrame) -> DataFrame:
-    """From raw ``(id, passage)`` to the corpus: complete, without copies, not too short."""
-    complete = corpus.drop_missing(passages.select("id", "passage"))
+    """From raw rows to the corpus ``(id, passage)``: complete, without copies, not too short.
+
+    A row with a missing value in any column is incomplete.
+    """
+    complete = corpus.drop_missing(passages).select("id", "passage")
     return corpus.drop_short(corpus.drop_all_copies(complete)).select("id", "passage")
 
 
-def profile_corpus(passages: DataFrame) -> DataFrame:
-    """Summary of the length and quality columns.
+def prepare_corpus_file(spark: SparkSession, source: str, target: str, layout: str = "parquet") -> None:
+    """From a stored table of passages (``layout`` parquet or csv) to a CSV corpus."""
+    if layout == "csv":
+        passages = tables.read_csv(spark, source, ["id", "passage"], {"id": "long"})
+    else:
+        passages = tables.load_parquet(spark, source)
+    tables.write_csv(prepare_corpus(passages), target)
 
-    The texts are measured once; the summary then goes over the stored numbers only.
-    """
-    measured = corpus.quality_ratios(passages).select(*PROFILE_COLUMNS)
-    return profile.describe(write_through(measured, "measures"), PROFILE_COLUMNS)
+
+def measure_corpus(passages: DataFrame, text: str = "passage") -> DataFrame:
+    """Length and quality columns of each text, stored: the texts are measured once."""
+    return write_through(corpus.quality_ratios(passages, text).select(*fixed.PROFILE_COLUMNS), "measures")
+
+
+def profile_corpus(passages: DataFrame, text: str = "passage") -> DataFrame:
+    """Summary of the length and quality columns of a text column, raw or normalised."""
+    return profile.describe(measure_corpus(passages, text), fixed.PROFILE_COLUMNS)
 
 
 def topic_report(
@@ -40,6 +52,16 @@ def topic_report(
     return topics.topic_words(model, names), topics.dominant_topics(model, vectors)
 
 
-def length_histogram(passages: DataFrame, bins: int = 10) -> DataFrame:
-    lengths = passages.select(F.length("passage").alias("char_len"))
-    return profile.histogram(lengths, "char_len", bins)
+def length_histograms(passages: DataFrame, bins: int = 10) -> DataFrame:
+    """Histograms of the raw length, the normalised length and the token count, by ``column``."""
+    text = F.col("passage")
+    sizes = passages.select(
+        tx.char_len(text).alias("char_len"),
+        tx.char_len(tx.normalize_text(text)).alias("norm_len"),
+        tx.token_count(text).alias("token_count"),
+    )
+    sizes = write_through(sizes, "sizes")
+    parts = [
+        profile.histogram(sizes, c, bins).select(F.lit(c).alias("column"), "*") for c in sizes.columns
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])

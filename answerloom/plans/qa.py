@@ -17,7 +17,7 @@ from ..functions import fixed_values as fixed
 from ..functions.text import SPACE
 from ..functions.vectors import encode_words
 from ..operators import prompts, qa_metrics, rerank
-from ..operators.search import search
+from ..operators.search import CellTable, build_cells, search, search_cells
 from ..shared import write_through
 
 Encoder = Callable[[DataFrame, str], DataFrame]  # adds ``embedding`` for a text column
@@ -33,15 +33,23 @@ def word_encoder(dim: int = DEFAULT_DIM) -> Encoder:
     return partial(encode_words, output="embedding", dim=dim)
 
 
-def leading_words(contexts: Column, limit: Column) -> Column:
-    """The first ``limit`` words of the joined contexts: what an echoing model would say."""
+def leading_pieces(contexts: Column, limit: Column) -> Column:
+    """The first ``limit`` pieces between white space of the joined contexts."""
     joined = F.array_join(F.transform(contexts, lambda c: c["passage"]), " ")
     text = F.regexp_replace(F.coalesce(joined, F.lit("")), f"^[{SPACE}]+", "")
     # Splitting stops once there are enough words; the piece after them is the rest.
-    pieces = F.split(text, f"[{SPACE}]+", limit + 1)
+    return F.slice(F.split(text, f"[{SPACE}]+", limit + 1), F.lit(1), limit)
+
+
+def joined_words(pieces: Column, limit: Column) -> Column:
     return F.array_join(F.array_remove(F.slice(pieces, F.lit(1), limit), ""), " ")
 
 
+def leading_words(contexts: Column, limit: Column) -> Column:
+    """The first ``limit`` words of the joined contexts: what an echoing model would say."""
+    return joined_words(leading_pieces(contexts, limit), limit)
+
+
 def echo_generator(limit: Column | int = DEFAULT_NEW_TOKENS) -> Generator:
     """Stand-in generator: repeats the start of the contexts; stays in the JVM."""
     limit = F.lit(limit) if isinstance(limit, int) else limit
@@ -53,12 +61,31 @@ def echo_generator(limit: Column | int = DEFAULT_NEW_TOKENS) -> Generator:
     return answer
 
 
+def build_index(
+    passages: DataFrame, path: str, encode: Encoder | None = None, nlist: int = fixed.NLIST
+) -> CellTable:
+    """Encode the passages once and store them by cell; ``search.load_cells`` opens the table later."""
+    vectors = (encode or word_encoder())(passages.select("pid", "passage"), "passage")
+    return build_cells(vectors.select("pid", "embedding"), nlist, path=path)
+
+
 def find_hits(
-    passages: DataFrame, questions: DataFrame, k: int, encode: Encoder, find: Finder
+    passages: DataFrame,
+    questions: DataFrame,
+    k: int,
+    encode: Encoder,
+    find: Finder,
+    index: CellTable | None = None,
 ) -> DataFrame:
     """The k closest passages of each question, stored: the search is the dearest step,
-    and what follows uses its few rows more than once."""
+    and what follows uses its few rows more than once.
+
+    With a stored ``index`` only questions are encoded, and cells that may hold something
+    better than what was found are searched too, so hits are exact.
+    """
     queries = encode(questions.select("qid", "question"), "question").select("qid", "embedding")
+    if index is not None:
+        return write_through(search_cells(queries, index, k, exact=True), "hits")
     vectors = encode(passages.select("pid", "passage"), "passage").select("pid", "embedding")
     return write_through(find(queries, vectors, k), "hits")
 
@@ -71,9 +98,10 @@ def find_candidates(
     find: Finder,
     score: Scorer,
     prepare: Callable[[DataFrame], DataFrame],
+    index: CellTable | None = None,
 ) -> DataFrame:
     """Scored candidates; ``prepare`` runs once per passage found, ``score`` per pair."""
-    hits = find_hits(passages, questions, candidates, encode, find)
+    hits = find_hits(passages, questions, candidates, encode, find, index)
     texts = prepare(rerank.found_passages(hits, passages.select("pid", "passage")))
     # Stored, so that a text is prepared once; fused into the join below, that would be
     # repeated for every hit of it.
@@ -100,9 +128,15 @@ def answer_baseline(
     encode: Encoder | None = None,
     find: Finder = search,
     generate: Generator | None = None,
+    index: CellTable | None = None,
+    max_queries: int = 0,
 ) -> DataFrame:
-    """Retrieve, prompt, generate: ``(qid, question, prediction, gold, context_ids)``."""
-    hits = find_hits(passages, questions, top_k, encode or word_encoder(), find)
+    """Retrieve, prompt, generate: ``(qid, question, prediction, gold, context_ids)``.
+
+    ``max_queries`` takes the first questions by id only; 0 takes all.
+    """
+    questions = write_through(prompts.first_rows(questions, max_queries, F.asc("qid")), "questions")
+    hits = find_hits(passages, questions, top_k, encode or word_encoder(), find, index)
     hits = rerank.with_passages(hits, passages)
     asked = with_contexts(questions, rerank.collect_contexts(hits))
     prompt = prompts.build_prompt(F.col("question"), F.col("contexts"), system)
@@ -126,14 +160,17 @@ def answer_reranked(
     score: Scorer = rerank.score_overlap,
     prepare: Callable[[DataFrame], DataFrame] = rerank.add_words,
     generate: Generator | None = None,
+    index: CellTable | None = None,
+    max_queries: int = 0,
 ) -> DataFrame:
     """Retrieve widely, re-rank, gate by confidence, then prompt and generate.
 
     Adds ``conf``, ``margin`` and ``low_conf`` to the baseline columns. With ``abstain``,
     unsure questions get no prompt and a fixed answer; their contexts are still reported.
     """
+    questions = write_through(prompts.first_rows(questions, max_queries, F.asc("qid")), "questions")
     scored = find_candidates(
-        passages, questions, candidates, encode or word_encoder(), find, score, prepare
+        passages, questions, candidates, encode or word_encoder(), find, score, prepare, index
     )
     ranked = rerank.rerank(scored, top_k)
     contexts = rerank.collect_contexts(
@@ -174,27 +211,30 @@ def sweep(
     hits = find_hits(passages, questions, max(top_ks), encode or word_encoder(), find)
     hits = rerank.with_passages(hits, passages)
     asked = with_contexts(questions, rerank.collect_contexts(hits))
-    settings = prompts.expand_grid(
-        asked, strategy=strategies, top_k=top_ks, max_new_tokens=new_tokens
-    )
-    system = F.lit(None).cast("string")
-    for name, text in strategies.items():
-        system = F.when(F.col("strategy") == name, F.lit(text)).otherwise(system)
-    chosen = settings.withColumn("contexts", F.slice("contexts", F.lit(1), F.col("top_k")))
-    prompt = prompts.build_prompt(F.col("question"), F.col("contexts"), system)
-    answered = (generate or echo_generator(F.col("max_new_tokens")))(
-        chosen.withColumn("prompt", prompt)
-    )
+    # Contexts are cut before rows are repeated for the settings that use them alike.
+    asked = asked.select("qid", "question", F.col("answer").alias("gold"), "contexts")
+    chosen = prompts.expand_grid(asked, top_k=top_ks)
+    chosen = chosen.withColumn("contexts", F.slice("contexts", F.lit(1), F.col("top_k")))
+    chosen = chosen.withColumn("context_ids", _context_ids())
+    rest = {"strategy": strategies, "max_new_tokens": new_tokens}
+    if generate is None:
+        # The echo needs no prompt: the leading words are taken once for all other settings.
+        most = max(new_tokens)
+        said = chosen.withColumn("pieces", leading_pieces(F.col("contexts"), F.lit(most))).drop("contexts")
+        said = prompts.expand_grid(said, max_new_tokens=new_tokens)
+        said = said.withColumn("prediction", joined_words(F.col("pieces"), F.col("max_new_tokens")))
+        answered = prompts.expand_grid(said.drop("pieces"), strategy=strategies)
+    else:
+        settings = prompts.expand_grid(chosen, **rest)
+        system = F.lit(None).cast("string")
+        for name, text in strategies.items():
+            system = F.when(F.col("strategy") == name, F.lit(text)).otherwise(system)
+        prompt = prompts.build_prompt(F.col("question"), F.col("contexts"), system)
+        answered = generate(settings.withColumn("prompt", prompt))
     tag = F.format_string("top_%d_new_%d_%s", "top_k", "max_new_tokens", "strategy")
-    return answered.select(
-        tag.alias("tag"), "qid", "question", "prediction", F.col("answer").alias("gold"),
-        _context_ids(),
-    )
+    return answered.select(tag.alias("tag"), "qid", "question", "prediction", "gold", "context_ids")
 
 
 def sweep_report(records: DataFrame, alpha: float = 0.05, with_squad: bool = True) -> DataFrame:
     """Comparison row per tag of :func:`sweep` records."""
-    scores = qa_metrics.question_scores(records)
-    if with_squad:
-        scores = qa_metrics.squad_scores(scores)
-    return qa_metrics.comparison_rows(scores, alpha)
+    return qa_metrics.comparison_rows(qa_metrics.scores_of_different(records, with_squad), alpha)

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import fixed_values as fixed
+from ..shared import write_through
 
 
 def check_rows(
-    rows: DataFrame, dim: int, max_chars: int = fixed.MAX_PASSAGE_CHARS
+    rows: DataFrame, dim: int, max_chars: int | None = None
 ) -> DataFrame:
     """Add ``problem``: why a row cannot be stored, or null when it can."""
     problem = (
         F.when(F.col("id").isNull(), "no id")
         .when(F.col("passage").isNull(), "no passage")
-        .when(F.length("passage") > max_chars, "passage too long")
+        .when(F.length("passage") > F.lit(max_chars), "passage too long")
         .when(F.col("embedding").isNull(), "no vector")
         .when(F.size("embedding") != dim, "wrong dimension")
     )
@@ -27,18 +27,25 @@ def write_vectors(
     path: str,
     dim: int,
     drop_if_exists: bool = False,
-    max_chars: int = fixed.MAX_PASSAGE_CHARS,
-) -> DataFrame:
-    """Append rows to the table, or replace it, and return the rejected rows.
+    max_chars: int | None = None,
+    rejects: str | None = None,
+) -> None:
+    """Append rows to the table, or replace it.
 
-    Ids are taken as given: nothing is merged or dropped by id. Further columns are kept.
+    Rows that cannot be stored are appended to the Parquet table ``rejects`` with their
+    ``problem``; without one the write fails and stores nothing. Ids are taken as given:
+    nothing is merged or dropped by id. Further columns are kept.
     """
-    checked = check_rows(rows, dim, max_chars)
+    checked = write_through(check_rows(rows, dim, max_chars), "checked")  # vectors may be dear
+    bad = checked.filter(F.col("problem").isNotNull())
+    if rejects is not None:
+        bad.write.mode("append").parquet(rejects)
+    elif first := bad.first():
+        raise ValueError(f"row {first['id']} cannot be stored: {first['problem']}")
     vectors = F.col("embedding").cast("array<float>")
     stored = checked.filter(F.col("problem").isNull()).drop("problem")
     mode = "overwrite" if drop_if_exists else "append"
     stored.withColumn("embedding", vectors).write.mode(mode).parquet(path)
-    return checked.filter(F.col("problem").isNotNull())
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:

@@ -141,7 +141,7 @@ def test_sources_round_trip(spark, tmp_path):
         golds = [r["gold"] for r in tables.load_results(spark, str(path), layout).collect()]
         assert golds == ["[285]", "x", "", "", "", "12"]
     scores = evaluate.evaluate_answers(spark, str(array), "t", str(tmp_path / "rep"), layout="array")
-    assert sorted(r["qid"] for r in scores.collect()) == [2, 3, 4, 4, 5, 7]
+    assert sorted(r["qid"] for r in scores.collect()) == ["2", "3", "4", "4", "5", "7"]
     assert reports.read_report(spark, str(tmp_path / "rep")).first()["n"] == 6
     single = tmp_path / "o.json"
     single.write_text('{"qid": 1}')
@@ -156,15 +156,19 @@ def test_vector_table(spark, tmp_path):
     ]
     frame = spark.createDataFrame(rows, "id long, passage string, embedding array<double>, extra string")
     path = str(tmp_path / "vectors")
-    rejects = vector_table.write_vectors(frame, path, dim=2, drop_if_exists=True, max_chars=10)
-    assert sorted(r["problem"] for r in rejects.collect()) == [
+    with pytest.raises(ValueError):
+        vector_table.write_vectors(frame, path, dim=2, max_chars=10)
+    left = str(tmp_path / "rejects")
+    vector_table.write_vectors(frame, path, dim=2, drop_if_exists=True, max_chars=10, rejects=left)
+    assert sorted(r["problem"] for r in spark.read.parquet(left).collect()) == [
         "no id", "no passage", "no vector", "passage too long", "wrong dimension",
     ]
-    vector_table.write_vectors(frame.drop("extra"), path, dim=2, max_chars=10)
+    vector_table.write_vectors(frame.drop("extra"), path, dim=2, max_chars=10, rejects=left + "2")
     stored = vector_table.read_vectors(spark, path)
     assert list(vector_table.vector_stats(stored).first()) == [2, 2, 2]
     assert ("embedding", "array<float>") in vector_table.describe_columns(stored)
-    vector_table.write_vectors(frame, path, dim=2, drop_if_exists=True, max_chars=10)
+    long = spark.createDataFrame([(1, "t" * 5000, [1.0, 2.0])], frame.drop("extra").schema)
+    vector_table.write_vectors(long, path, dim=2, drop_if_exists=True)
     assert vector_table.read_vectors(spark, path).count() == 1
 
 
@@ -208,9 +212,9 @@ def test_user_models(spark, corpus):
     }
     for row in scoring.embed_texts(texts, "passage", encoder).collect():
         assert np.linalg.norm(row["embedding"]) == pytest.approx(1.0)
-    counted = scoring.count_tokens(corpus, "passage", lambda: str.split)
+    counted = scoring.count_tokens(corpus, "passage", lambda: lambda batch: [t.split() for t in batch])
     assert {r["pid"]: r["tok_est"] for r in counted.collect()}[1] == 4
-    tagger = lambda: lambda t: ([(t[:3], "HEAD")], 2, {"X": 2})
+    tagger = lambda: lambda batch: [([(t[:3], "HEAD")], 2, {"X": 2}) for t in batch]
     tagged = {r["pid"]: r for r in scoring.tag_documents(texts, "passage", tagger).collect()}
     assert tagged[0]["entities"][0]["text"] == "red" and tagged[0]["pos_counts"] == {"X": 2}
     assert tagged[9]["entities"] == [] and tagged[9]["token_count"] == 0

@@ -27,7 +27,7 @@ def test_a_hot_group_of_copies_is_combined_before_the_shuffle(spark):
     frame = passages(spark, ["same text"] * 500 + [f"text {i}" for i in range(500)])
     assert corpus.drop_all_copies(frame.repartition(4)).count() == 500
     plan = corpus.drop_all_copies(frame)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_count" in plan and plan.count("Exchange") == 1
+    assert "partial_count" in plan and "SortAggregate" not in plan
 
 
 @pytest.mark.parametrize("shape", ["small", "ties", "large"])
