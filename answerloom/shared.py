@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +27,42 @@ def session_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{session_folder(spark)}/{name}-{uuid4().hex}"
+    path = f"{session_folder(spark)}/{name}-{uuid4().hex}"
+    for scope in _scopes.get():
+        scope.paths.append(path)
+    return path
+
+
+class StepScope:
+    """The steps stored while it is open; see :func:`temporary_steps`."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Store ``df`` as a step that outlives the scope."""
+        stored = write_through(df, name)
+        self.paths.pop()
+        return stored
+
+
+_scopes: ContextVar[tuple[StepScope, ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def temporary_steps(spark: SparkSession) -> Iterator[StepScope]:
+    """Delete the steps stored inside at the end, but for those kept.
+
+    For work whose result is stored, or is no frame: what it left on the way is of no use.
+    """
+    scope = StepScope()
+    token = _scopes.set((*_scopes.get(), scope))
+    try:
+        yield scope
+    finally:
+        _scopes.reset(token)
+        for path in scope.paths:
+            drop_path(spark, path)
 
 
 def write_through(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
@@ -39,10 +77,14 @@ def write_through(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_path(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_steps(spark: SparkSession) -> None:
     """Delete all stored steps of this session; frames that still read them end with it."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    drop_path(spark, session_folder(spark))
 
 
 def ship_package(spark: SparkSession) -> None:

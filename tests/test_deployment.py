@@ -54,6 +54,15 @@ def test_steps_lie_apart_and_can_be_dropped(spark):
     assert not files.exists(path)
 
 
+def test_temporary_steps_go_and_kept_ones_stay(spark):
+    with shared.temporary_steps(spark) as steps:
+        gone = shared.write_through(spark.range(3), "gone")
+        kept = steps.keep(gone.filter("id > 0"), "kept")
+    assert kept.count() == 2
+    with pytest.raises(Exception):
+        spark.read.parquet(*gone.inputFiles()).count()
+
+
 def test_one_judge_a_task(spark):
     rows = spark.range(0, 200, 1, 2).select(F.lit("t").alias("tag"), (F.col("id") % 40).alias("shard"))
 
