@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import write_through
+from ..shared import temporary_steps, write_through
 
 
 def _contracted(links: DataFrame, both_ways: bool) -> DataFrame:
@@ -33,12 +33,13 @@ def components(links: DataFrame) -> DataFrame:
         return tuple(rows.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
     ordered = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u > v").distinct()
-    held = write_through(ordered, "links")
-    before = seal(held)
-    while before[0]:
-        held = write_through(_contracted(_contracted(held, True), False), "links")
-        now = seal(held)
-        if now == before:
-            break
-        before = now
-    return held.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    with temporary_steps(links.sparkSession) as steps:
+        held = write_through(ordered, "links")
+        before = seal(held)
+        while before[0]:
+            held = write_through(_contracted(_contracted(held, True), False), "links")
+            now = seal(held)
+            if now == before:
+                break
+            before = now
+        return steps.keep(held.select(F.col("u").alias("node"), F.col("v").alias("root")), "roots")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import fresh_path, write_through
+from ..shared import temporary_steps, write_through
 
 BUCKET_BYTES = 32 << 20
 BITS_A_LOOK = 12  # the directory asks for counts of so many bits at a time
@@ -197,20 +197,22 @@ def exact_groups(documents: DataFrame, text: str = "text", id_column: str = "doc
     """One row for each row of ``documents``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Only groups of two rows and more are joined back; the rest keep themselves. The joined
-    side has one row a group, so a large group is a skewed join that Spark splits.
+    side has one row a group, so a large group is a skewed join that Spark splits. The result
+    is stored and the index dropped; use ``build_index`` to keep one.
     """
-    rows, index = build_index(documents, text, id_column, capacity)
-    groups = index.filter("n > 1").select("key", "digest", F.expr(f"nullif(keep_id, {NO_ID})").alias("keep_id"), "n")
-    joined = rows.join(groups, ["key", "digest"], "left")
-    grouped = F.col("n").isNotNull()
-    keep_id = F.when(grouped, F.col("keep_id")).otherwise(F.col("doc_id"))
-    return joined.select(
-        "doc_id",
-        keep_id.alias("keep_id"),
-        F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
-        F.col("doc_id").eqNullSafe(keep_id).alias("kept"),
-        F.col("digest").alias("text_sha256"),
-    )
+    with temporary_steps(documents.sparkSession) as steps:
+        rows, index = build_index(documents, text, id_column, capacity)
+        groups = index.filter("n > 1").select("key", "digest", F.expr(f"nullif(keep_id, {NO_ID})").alias("keep_id"), "n")
+        joined = rows.join(groups, ["key", "digest"], "left")
+        keep_id = F.when(F.col("n").isNotNull(), F.col("keep_id")).otherwise(F.col("doc_id"))
+        told = joined.select(
+            "doc_id",
+            keep_id.alias("keep_id"),
+            F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
+            F.col("doc_id").eqNullSafe(keep_id).alias("kept"),
+            F.col("digest").alias("text_sha256"),
+        )
+        return steps.keep(told, "dedup-groups")
 
 
 def drop_copies(documents: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:

@@ -7,11 +7,14 @@ documents hold first; documents meet under the prefix tokens they have in common
 then tried under further orders, and only a pair that shares a prefix token under every one
 is verified on the whole sets.
 
-Equal sets are one class from the start. Under a common token the classes are first compared
-with one of them, the pivot, and links make components; then the pairs that still lie in
-different components are compared, so no link is lost, and a group of like documents costs
-about its size and not the square of it. A token held by very many documents is spread over
-several buckets with a pivot each, whose pivots meet.
+Equal sets are one class from the start. Links are sought in rounds: each set is paired with
+the one that seems nearest among those it shares a token with, if it lies in another
+component; pairs are verified, and the links join components. The last round takes all pairs
+that are left between different components, so no link is lost, and a group of like documents
+costs about its size and not the square of it. Which pairs seem near is told by signatures:
+two sets differ in at least as many tokens as their signatures in bits, so pairs that this
+rules out are no links. A token held by very many documents is spread over several buckets,
+dealt anew in each round; the last round takes the buckets of a token two by two.
 
 Words are runs without white space, A-Z lower-cased. A document with fewer words than n is one
 token, its whole sequence. Defined cases: null text is empty text; a document without words
@@ -22,69 +25,98 @@ not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shared import write_through
+from ..shared import temporary_steps, write_through
 from .components import components
 
 ORDERS = 3  # the first by how common tokens are, the others by hashes
-SLOT_BITS = 20  # hashed counts of tokens: a table of this size whatever the data
-CHUNK = 4096
-SPLIT_AT = 50_000  # a token counted more often is spread over buckets of about so many rows
+SLOT_BITS = 22  # hashed counts of tokens: a table of this size whatever the data, a byte a slot
+CHUNK = 1 << 16
+STEPS_A_DOUBLING = 8  # levels of the logarithm of a count
+SPLIT_AT = 20_000  # a token counted more often is spread over buckets of about so many rows
+ROUNDS = 2  # of nearest pairs, before the round of all that are left
+TILE = 256
 MAP_BITS = 23  # hashed marks of the classes that are in pairs: 1 MB whatever the data
-WORDS_KEPT = 200_000
-PREFIX = "token long, salt int, cls long, row long, n int, pos int"
-BUCKET = PREFIX + ", pivot long, pivot_row long, pivot_n int, pivot_pos int"
-PAIR = ["a", "a_row", "a_n", "b", "b_row", "b_n"]
+WORDS_KEPT = 100_000
+SIGNATURE = [f"s{i}" for i in range(8)]  # parities of hashed tokens, 512 bits
+PREFIX = "token long, parts int, salt int, cls long, row long, n int, pos int"
+ROWS_AT_ONCE = 250
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+SIGNED = "token long, parts int, row long, n int, pos int, other long, " + ", ".join(f"{c} long" for c in SIGNATURE)
+SMALL = 16  # rows of a bucket whose near pairs are all taken at once
 
 
 # ------------------------------------------------------------------ sets
 
 
+class _Words(dict):
+    """Place of each word met lately in a table of hashes."""
+
+    def __init__(self):
+        self.table = np.zeros(WORDS_KEPT, np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        at = len(self)
+        if at == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros(at, np.uint64)])
+        self.table[at] = xxhash.xxh3_64_intdigest(word)
+        self[word] = at
+        return at
+
+
 class Shingler:
-    """Sets of hashed n-grams; remembers the hashes of the words met lately."""
+    """Sets of hashed n-grams."""
 
     def __init__(self, size: int):
         self.size = size
-        self.words: dict[bytes, int] = {}
-        self.older: dict[bytes, int] = {}
-
-    def _hash(self, word: bytes) -> int:
-        found = self.older.get(word)
-        if found is None:
-            found = xxhash.xxh3_64_intdigest(word)
-        if len(self.words) >= WORDS_KEPT:
-            self.words, self.older = {}, self.words
-        self.words[word] = found
-        return found
+        self.words = _Words()
 
     def tokens(self, text: bytes) -> np.ndarray:
         """Sorted distinct tokens of a text in UTF-8."""
         words = text.lower().split()
         if not words:
             return np.zeros(0, np.uint64)
-        known, size = self.words, min(self.size, len(words))
-        hashed = []
-        for word in words:
-            h = known.get(word)
-            if h is None:
-                h = self._hash(word)
-                known = self.words
-            hashed.append(h)
-        h = np.array(hashed, np.uint64)
+        if len(self.words) >= WORDS_KEPT:
+            self.words = _Words()
+        places = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        h, size = self.words.table[places], min(self.size, len(words))
         told = np.full(len(h) - size + 1, size, np.uint64)
         for j in range(size):
             told = mixed(told * np.uint64(0x9E3779B97F4A7C15) + h[j : j + len(told)])
         return np.unique(told)
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
+    pa.default_memory_pool().release_unused()
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Hand texts and sets to Python in batches of a few megabytes, while it is open.
+
+    Each task holds a batch several times over, in the JVM and in Python.
+    """
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -94,19 +126,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def token_sets(documents: DataFrame, text: str, id_column: str, size: int) -> DataFrame:
     """(doc_id, text_key, cls, proof, n, row, grams) of each row; ``grams`` only where a task first meets a class.
 
-    ``cls`` and ``proof`` are two independent digests of the set, ``row`` numbers rows.
+    ``cls`` and ``proof`` are two independent digests of the set, ``row`` numbers rows, and the
+    signature holds for each of 512 slots whether the number of tokens there is odd.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(size), set()
         at = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in sliced(batches):
             cls, proof, n, grams = [], [], [], []
+            parity = np.zeros((batch.num_rows, 64), np.uint8)
             for content in batch.column(2).to_pylist():
                 tokens = shingler.tokens(content)
                 packed = tokens.tobytes()
                 cls.append(xxhash.xxh3_64_intdigest(packed, 1))
                 proof.append(xxhash.xxh3_64_intdigest(packed, 2))
+                parity[len(n)] = np.packbits((np.bincount((tokens & np.uint64(511)).astype(np.int64), minlength=512) & 1).astype(bool))
                 n.append(len(tokens))
                 grams.append(None if cls[-1] in seen or not len(tokens) else packed)
                 seen.add(cls[-1])
@@ -114,48 +149,58 @@ def token_sets(documents: DataFrame, text: str, id_column: str, size: int) -> Da
             rows = np.arange(at, at + len(n), dtype=np.int64)
             at += len(n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *signed, pa.array(n, pa.int32()), pa.array(rows), pa.array(grams, pa.binary())], names=names
+                [batch.column(0), batch.column(1), *signed, pa.array(n, pa.int32()), pa.array(rows), *map(pa.array, parity.view(np.int64).T.copy()), pa.array(grams, pa.binary())], names=names
             )
 
-    schema = "doc_id long, text_key long, cls long, proof long, n int, row long, grams binary"
+    schema = "doc_id long, text_key long, cls long, proof long, n int, row long, " + "".join(f"{c} long, " for c in SIGNATURE) + "grams binary"
     names = [c.split()[0] for c in schema.split(", ")]
     content = F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t")
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), content)
     return rows.mapInArrow(run, schema)
 
 
-def token_counts(sets: DataFrame) -> np.ndarray:
-    """How many sets hold a token of each slot; summed in the tasks, then by chunks of slots."""
+def token_levels(sets: DataFrame) -> np.ndarray:
+    """How common the tokens of each slot are, as a level of the logarithm of their count.
+
+    Tasks count up to 255 a slot and send what they counted packed, by chunks of slots. The
+    order of tokens only has to be the same everywhere, so full slots do no harm.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SLOT_BITS, np.int64)
-        for batch in batches:
-            for some in batch.column(0):
-                tokens = np.frombuffer(some.as_buffer(), np.uint64)
-                np.add.at(total, slots(tokens), 1) if len(tokens) < 4096 else np.add(total, np.bincount(slots(tokens), minlength=len(total)), out=total)
-        if total.any():
-            yield from told({i: c for i, c in enumerate(total.reshape(-1, CHUNK)) if c.any()})
+        total = np.zeros(1 << SLOT_BITS, np.uint8)
+        for batch in sliced(batches):
+            if batch.num_rows:
+                every = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
+                at, n = np.unique(slots(every), return_counts=True)
+                total[at] = np.minimum(255, total[at] + n)
+        yield from told({i: c for i, c in enumerate(total.reshape(-1, CHUNK)) if c.any()})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        """Sums of the chunks, which come in order; one is held at a time."""
+        at, total = None, np.zeros(CHUNK, np.int64)
+        level = lambda counts: np.round(STEPS_A_DOUBLING * np.log2(counts + 1.0)).clip(0, 255).astype(np.uint8)
         for batch in batches:
-            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = np.frombuffer(counts.as_buffer(), np.int64)
-                sums[chunk] = sums.get(chunk, 0) + part
-        yield from told(sums)
+            for chunk, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if at is not None and chunk != at:
+                    yield from told({at: level(total)})
+                    total[:] = 0
+                at = chunk
+                total += np.frombuffer(zlib.decompress(packed.as_py()), np.uint8)
+        if at is not None:
+            yield from told({at: level(total)})
 
     def told(chunks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if chunks:
-            packed = pa.array([c.astype(np.int64).tobytes() for c in chunks.values()], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(list(chunks), pa.int32()), packed], names=["chunk", "counts"])
+        for chunk, counts in chunks.items():
+            packed = pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), packed], names=["chunk", "counts"])
 
     schema = "chunk int, counts binary"
     local = sets.filter("grams is not null").select("grams").mapInArrow(count, schema)
-    summed = local.repartition("chunk").mapInArrow(add, schema).toArrow()  # the size of the table, fixed
-    total = np.zeros((1 << SLOT_BITS) // CHUNK * CHUNK, np.int64).reshape(-1, CHUNK)
-    for chunk, counts in zip(summed["chunk"].to_pylist(), summed["counts"].to_pylist()):
-        total[chunk] = np.frombuffer(counts, np.int64)
-    return total.reshape(-1)
+    levels = np.zeros(((1 << SLOT_BITS) // CHUNK, CHUNK), np.uint8)
+    summed = local.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(add, schema)
+    for chunk, packed in summed.toLocalIterator():  # the table, of fixed size
+        levels[chunk] = np.frombuffer(zlib.decompress(packed), np.uint8)
+    return levels.reshape(-1)
 
 
 def slots(tokens: np.ndarray) -> np.ndarray:
@@ -170,129 +215,230 @@ def least_overlap(n, percent: int):
 # ------------------------------------------------------------------ buckets
 
 
-def prefix_rows(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """Prefix tokens of each class under the first order, with their places in it."""
-    ranks = np.minimum(counts, (1 << 20) - 1).astype(np.uint32)
-    spread = np.maximum(1, -(-counts // SPLIT_AT))
+def prefix_rows(sets: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
+    """Prefix tokens of each stored set under the first order, with their places in it.
+
+    ``parts`` is the number of buckets of a token, ``salt`` the one of this set.
+    """
+    parts_of = np.maximum(1, np.ceil(2.0 ** (np.arange(256) / STEPS_A_DOUBLING) / SPLIT_AT)).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns: list[list[np.ndarray]] = [[] for _ in range(6)]
-            for cls, row, n, packed in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
-                tokens = np.frombuffer(packed.as_buffer(), np.uint64)
-                at = slots(tokens)
-                order = (ranks[at].astype(np.uint64) << np.uint64(44)) | (mixed(tokens) >> np.uint64(20))
+        for batch in sliced(batches):
+            columns: list[list[np.ndarray]] = [[] for _ in PREFIX.split(", ")]
+            for cls, row, n, packed in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                tokens = np.frombuffer(packed, np.uint64)
+                level = levels[slots(tokens)]
+                order = (level.astype(np.uint64) << np.uint64(56)) | (mixed(tokens) >> np.uint64(8))
                 length = n - least_overlap(n, percent) + 1
                 first = np.argsort(order, kind="stable")[:length]
-                parts = spread[at[first]]
-                salt = np.where(parts > 1, cls % parts, -1)
+                parts = parts_of[level[first]]
                 own = np.ones(length, np.int64)
-                for column, values in zip(columns, (tokens[first].view(np.int64), salt, cls * own, row * own, n * own, np.arange(length))):
+                for column, values in zip(columns, (tokens[first].view(np.int64), parts, cls % parts, cls * own, row * own, n * own, np.arange(length))):
                     column.append(values)
             if columns[0]:
-                made = [pa.array(np.concatenate(c).astype(t)) for c, t in zip(columns, (np.int64, np.int32, np.int64, np.int64, np.int32, np.int32))]
-                yield pa.RecordBatch.from_arrays(made, names=["token", "salt", "cls", "row", "n", "pos"])
-
-    rows = sets.filter("grams is not null").select("cls", "row", "n", "grams")
-    return rows.mapInArrow(run, PREFIX)
+                kinds = (np.int64, np.int32, np.int32, np.int64, np.int64, np.int32, np.int32)
+                made = [pa.array(np.concatenate(c).astype(t)) for c, t in zip(columns, kinds)]
+                yield pa.RecordBatch.from_arrays(made, names=[c.split()[0] for c in PREFIX.split(", ")])
 
+    return sets.filter("grams is not null").select("cls", "row", "n", "grams").mapInArrow(run, PREFIX)
 
-def _with_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of token, salt, class and row: each class once, with the first class of its bucket.
 
-    Buckets of one class are left out, but for those of a token that has several buckets.
-    What is carried from batch to batch is the last row and the pivot, or one row that is
-    alone so far.
-    """
-    names = ["token", "salt", "cls", "row", "n", "pos"]
-    carried = pivot = None  # the last row seen, which is still to be told, and the pivot of its bucket
+def _whole_buckets(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole buckets from rows in order of ``keys``, with the place where each bucket starts, and the end."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        x = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names], axis=1)
-        x = x if carried is None else np.concatenate([carried[None], x])
-        bucket_new = np.concatenate([[True], (x[1:, :2] != x[:-1, :2]).any(axis=1)])
-        x = x[bucket_new | np.concatenate([[True], x[1:, 2] != x[:-1, 2]])]
-        bucket_new = np.concatenate([[carried is None or pivot is None], (x[1:, :2] != x[:-1, :2]).any(axis=1)])
-        heads = np.where(bucket_new, np.arange(len(x)), 0)
-        heads = np.maximum.accumulate(heads)
-        pivots = x[heads]
-        if not bucket_new[0]:
-            pivots[heads == 0] = pivot
-        # The last row waits: what follows tells whether it is alone.
-        last_alone = bucket_new[-1]
-        next_new = np.concatenate([bucket_new[1:], [False]])
-        keep = ~(bucket_new & next_new & (x[:, 1] < 0))
-        keep[-1] = False
-        yield from _bucket_batch(x[keep], pivots[keep])
-        carried, pivot = x[-1], None if last_alone else pivots[-1]
-    if carried is not None and (pivot is not None or carried[1] >= 0):
-        head = carried if pivot is None else pivot
-        yield from _bucket_batch(carried[None], head[None])
-
-
-def _bucket_batch(x: np.ndarray, pivots: np.ndarray) -> Iterator[pa.RecordBatch]:
-    if len(x):
-        kinds = (np.int64, np.int32, np.int64, np.int64, np.int32, np.int32)
-        own = [pa.array(x[:, i].astype(t)) for i, t in enumerate(kinds)]
-        head = [pa.array(pivots[:, i].astype(kinds[i])) for i in (2, 3, 4, 5)]
-        yield pa.RecordBatch.from_arrays(own + head, names=[c.split()[0] for c in BUCKET.split(", ")])
-
-
-def possible(a: str, b: str, percent: int) -> Column:
-    """Whether sets of these sizes, with a common token at these places of their order, may link."""
-    small, large = F.least(f"{a}_n", f"{b}_n"), F.greatest(f"{a}_n", f"{b}_n")
-    beyond = F.least(F.col(f"{a}_n") - F.col(f"{a}_pos"), F.col(f"{b}_n") - F.col(f"{b}_pos"))
-    most = F.least(f"{a}_pos", f"{b}_pos") + beyond
-    shared = (100 + percent) * most.cast("long") >= percent * (F.col(f"{a}_n") + F.col(f"{b}_n")).cast("long")
-    return (100 * small.cast("long") >= percent * large.cast("long")) & shared
-
-
-def named(rows: DataFrame, side: str) -> list[Column]:
-    """Columns of bucket rows under the names of one side of a pair."""
-    return [F.col("cls").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("row", "n", "pos")]]
-
-
-def as_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Different pairs (smaller class first) of rows that hold both sides, if they may link."""
-    fit = rows.filter(F.col("a") != F.col("b")).filter(possible("a", "b", percent))
-    flip = F.col("a") > F.col("b")
-    sides = [
-        F.when(flip, F.col(c.replace("a", "b", 1) if c[0] == "a" else c.replace("b", "a", 1))).otherwise(F.col(c)).alias(c) for c in PAIR
-    ]
-    return fit.select(*sides).distinct()
-
-
-def pivot_pairs(buckets: DataFrame, percent: int) -> DataFrame:
-    """Each class with the pivots of its buckets, and the pivots of one token with the first of them."""
-    star = buckets.select(
-        F.col("pivot").alias("a"), F.col("pivot_row").alias("a_row"), F.col("pivot_n").alias("a_n"), F.col("pivot_pos").alias("a_pos"),
-        *named(buckets, "b"),
-    )
-    heads = buckets.filter("salt >= 0 and cls = pivot")
-    first = heads.groupBy("token").agg(F.min(F.struct("cls", "row", "n", "pos")).alias("f")).select("token", "f.*")
-    first = first.select("token", *named(first, "a"))
-    across = heads.select("token", *named(heads, "b")).join(first, "token").select(*star.columns)
-    return as_pairs(star.unionAll(across), percent)
-
-
-def remaining_pairs(buckets: DataFrame, roots: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """Pairs under a common token whose components differ, without those already tried.
-
-    Under each token the largest component is not compared with itself, and neither is any
-    other; the classes outside the largest one meet all the rest.
+        held.append(batch)
+        table = pa.Table.from_batches(held).combine_chunks()
+        starts = _starts(table, keys)
+        if len(starts) > 1:
+            yield table.slice(0, int(starts[-1])), starts
+            held = table.slice(int(starts[-1])).combine_chunks().to_batches()
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, np.append(_starts(table, keys), table.num_rows)
+
+
+def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
+    values = np.stack([table[c].to_numpy().astype(np.int64) for c in keys])
+    return np.flatnonzero(np.concatenate([[True], (values[:, 1:] != values[:, :-1]).any(axis=0)]))
+
+
+def _columns(table: pa.Table) -> dict[str, np.ndarray]:
+    told = {c: table[c].to_numpy().astype(np.int64) for c in table.column_names}
+    return told | {c: told[c].view(np.uint64) for c in SIGNATURE if c in told}
+
+
+def _near(x: dict[str, np.ndarray], i, j, percent: int) -> np.ndarray:
+    """Distance of the signatures of rows at the places ``i`` and ``j``, -1 where a pair is no link or needs none.
+
+    Sizes, and the places of the common token, bound what two sets share; signatures, if known, tell more.
     """
-    own = roots.select(F.col("node").alias("cls"), "root")
-    placed = buckets.select("token", "cls", "row", "n", "pos").join(own, "cls", "left")
-    placed = write_through(placed.withColumn("root", F.coalesce("root", "cls")), "placed")
-    sizes = placed.groupBy("token", "root").agg(F.count("*").alias("size"))
-    mixed_tokens = sizes.groupBy("token").agg(F.max_by("root", F.struct("size", "root")).alias("most"), F.count("*").alias("roots"))
-    open_rows = placed.join(mixed_tokens.filter("roots > 1").drop("roots"), "token")
-    left = open_rows.filter("root != most").select("token", F.col("root").alias("a_root"), *named(open_rows, "a"))
-    right = open_rows.select("token", F.col("root").alias("b_root"), (F.col("root") == F.col("most")).alias("b_most"), *named(open_rows, "b"))
-    met = left.join(right, "token").filter(F.col("a_root") != F.col("b_root"))
-    met = met.filter(F.col("b_most") | (F.col("a") < F.col("b")))
-    return as_pairs(met, percent).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    n, m, p, q = x["n"][i], x["n"][j], x["pos"][i], x["pos"][j]
+    sizes = n + m
+    most = np.minimum(p, q) + np.minimum(n - p, m - q)
+    fit = (x["root"][i] != x["root"][j]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+    fit &= (100 + percent) * most >= percent * sizes
+    apart = np.zeros(fit.shape, np.int64)
+    for c in SIGNATURE if SIGNATURE[0] in x else ():
+        apart += np.bitwise_count(x[c][i] ^ x[c][j])
+    return np.where(fit & ((100 + percent) * apart <= (100 - percent) * sizes), apart, -1)
+
+
+def _small_pairs(x: dict[str, np.ndarray], bucket: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all near pairs in buckets of ``SMALL`` rows at most: each row with the ones after it."""
+    left, right = [], []
+    for d in range(1, SMALL):
+        i = np.flatnonzero(bucket[d:] == bucket[:-d])
+        if not len(i):
+            break
+        hit = i[_near(x, i, i + d, percent) >= 0]
+        left.append(hit)
+        right.append(hit + d)
+    empty = np.zeros(0, np.int64)
+    return np.concatenate([empty, *left]), np.concatenate([empty, *right])
+
+
+def _large_pairs(x: dict[str, np.ndarray], start: int, end: int, percent: int, every: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of paired rows of one bucket: each row with its nearest, or all that are near."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    if (x["root"][start:end] == x["root"][start]).all():
+        return left[0], right[0]
+    for s in range(start, end, TILE):
+        rows = np.arange(s, min(end, s + TILE))
+        best, partner = np.full(len(rows), 1 << 40), np.full(len(rows), -1)
+        for t in range(start, end, 16 * TILE):
+            others = np.arange(t, min(end, t + 16 * TILE))
+            apart = _near(x, rows[:, None], others[None, :], percent)
+            if every:
+                a, b = np.nonzero((apart >= 0) & (rows[:, None] < others))
+                left.append(rows[a])
+                right.append(others[b])
+            else:
+                apart = np.where(apart < 0, 1 << 40, apart)
+                at = apart.argmin(axis=1)
+                least = apart[np.arange(len(rows)), at]
+                better = least < best
+                best[better], partner[better] = least[better], others[at[better]]
+        found = partner >= 0
+        left.append(rows[found])
+        right.append(partner[found])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _place_pairs(x: dict[str, np.ndarray], starts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the near pairs in the small ones of some whole buckets."""
+    sizes = np.diff(starts)
+    small = np.flatnonzero(np.repeat((sizes <= SMALL) & (x["parts"][starts[:-1]] == 1), sizes))
+    bucket = np.repeat(np.arange(len(sizes)), sizes)[small]
+    a, b = _small_pairs({c: v[small] for c, v in x.items()}, bucket, percent)
+    return small[a], small[b]
+
+
+def _shared(batches: Iterator[pa.RecordBatch], keys: list[str], percent: int) -> Iterator[pa.RecordBatch]:
+    """Each class once a bucket, and of small buckets only rows that some other row may link with by size and place."""
+    for table, _ in _whole_buckets(batches, keys):
+        cls = table["cls"].to_numpy()
+        new = np.zeros(table.num_rows, bool)
+        new[_starts(table, keys)] = True
+        new[1:] |= cls[1:] != cls[:-1]
+        table = table.filter(pa.array(new)).combine_chunks()
+        starts = np.append(_starts(table, keys), table.num_rows)
+        x = _columns(table) | {"root": table["row"].to_numpy()}
+        a, b = _place_pairs(x, starts, percent)
+        keep = _large(x, starts)
+        keep[a] = keep[b] = True
+        yield from table.filter(pa.array(keep)).to_batches()
+
+
+def _large(x: dict[str, np.ndarray], starts: np.ndarray) -> np.ndarray:
+    """Which rows are in buckets of more than ``SMALL`` rows, or of a token with several buckets."""
+    sizes = np.diff(starts)
+    return np.repeat((sizes > SMALL) | (x["parts"][starts[:-1]] > 1), sizes)
+
+
+def near_buckets(sets: DataFrame, percent: int) -> DataFrame:
+    """What prefix tokens bring together, stored: near pairs (``other`` is the second row, ``n`` the
+    distance of their signatures), and large buckets.
+
+    Rows move once with every prefix token. What sizes, places and then signatures rule out
+    can give no link in any round. Small buckets give their near pairs, the rows of large
+    ones stay for the rounds.
+    """
+    keys = ["token", "salt"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in _whole_buckets(batches, keys):
+            x = _columns(table) | {"root": table["row"].to_numpy()}
+            large = table.filter(pa.array(_large(x, starts)))
+            none = pa.nulls(large.num_rows, pa.int64())
+            yield from large.append_column("other", none).select(names).to_batches()
+            a, b = _place_pairs(x, starts, percent)
+            rows = np.sort(np.stack([x["row"][a], x["row"][b]], axis=1), axis=1)
+            rows = np.unique(np.column_stack([rows, _near(x, a, b, percent)]), axis=0)
+            told = {c: pa.nulls(len(rows), large.schema.field(c).type if c != "other" else pa.int64()) for c in names}
+            told |= {"row": pa.array(rows[:, 0].copy()), "other": pa.array(rows[:, 1].copy()), "n": pa.array(rows[:, 2].astype(np.int32))}
+            yield pa.RecordBatch.from_pydict(told)
+
+    names = [c.split()[0] for c in SIGNED.split(", ")]
+    rows = prefix_rows(sets, token_levels(sets), percent)
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "cls", "row")
+    signed = sets.filter("grams is not null").select("row", *SIGNATURE)
+    shared = dealt.mapInArrow(lambda batches: _shared(batches, keys, percent), PREFIX).join(signed, "row")
+    again = shared.select("salt", *[c for c in names if c != "other"]).repartition(*keys).sortWithinPartitions(*keys)
+    return write_through(again.mapInArrow(run, SIGNED), "buckets")
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    known = roots.select(F.col("node").alias("row"), "root")
+    return rows.join(known, "row", "left").withColumn("root", F.coalesce("root", "row"))
+
+
+def open_pairs(near: DataFrame, roots: DataFrame, every: bool) -> DataFrame:
+    """Of the near pairs (a, b, apart) between different components, each row's nearest, or all."""
+    known = [roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("a", "b")]
+    rooted = near.join(known[0], "a", "left").join(known[1], "b", "left")
+    left = rooted.filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b", "apart")
+    if every:
+        return left.select("a", "b")
+    both = left.unionAll(left.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
+    nearest = both.groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
+    return nearest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def candidate_pairs(
+    near: DataFrame, buckets: DataFrame, roots: DataFrame, tried: DataFrame | None, percent: int, turn: int, every: bool
+) -> DataFrame:
+    """Pairs (a, b) of rows to verify in a round, stored, without those already ``tried``.
+
+    They come from the near pairs and the large buckets. ``roots`` tells the components so
+    far. Every large bucket is bounded: a common token has many, and which of them a set falls
+    into changes from turn to turn.
+    """
+    keys = ["token", "salt", "side"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in _whole_buckets(batches, keys):
+            x = _columns(table)
+            for start, end in zip(starts, starts[1:]):
+                a, b = _large_pairs(x, int(start), int(end), percent, every)
+                made = np.unique(np.sort(np.stack([x["row"][a], x["row"][b]], axis=1), axis=1), axis=0)
+                if len(made):
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in made.T.copy()], names=["a", "b"])
+
+    placed = _rooted(buckets.filter("other is null").drop("other"), roots)
+    placed = placed.withColumn("salt", F.pmod(F.xxhash64("row", F.lit(turn)), F.col("parts")).cast("int"))
+    if every:  # buckets of a token two by two
+        placed = placed.withColumn("second", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        placed = placed.withColumns({"salt": F.least("salt", "second"), "side": F.greatest("salt", "second")})
+    else:
+        placed = placed.withColumn("side", F.col("salt"))
+    columns = [*keys, "row", "n", "pos", "root", *SIGNATURE]
+    dealt = placed.select(*columns).repartition(*keys).sortWithinPartitions(*keys)
+    pairs = dealt.mapInArrow(run, "a long, b long")
+    pairs = pairs.unionAll(open_pairs(near, roots, every)).distinct()
+    return write_through(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
 
 
 # ------------------------------------------------------------------ verification
@@ -300,7 +446,7 @@ def remaining_pairs(buckets: DataFrame, roots: DataFrame, tried: DataFrame, perc
 
 def _marks(pairs: DataFrame) -> np.ndarray:
     """Hashed marks of the classes in ``pairs``; marks may also hit other classes."""
-    every = pairs.select(F.col("a_row").alias("r")).unionAll(pairs.select("b_row")).distinct()
+    every = pairs.select(F.col("a").alias("r")).unionAll(pairs.select("b")).distinct()
     bit = F.pmod(F.col("r").bitwiseAND((1 << 40) - 1) + F.shiftright("r", 40) * 7919, F.lit(1 << MAP_BITS))
     bits = F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("bits")
     words = every.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).alias("w")).agg(bits)
@@ -345,15 +491,14 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, orders: int) -> Da
     """The links (u, v) among ``pairs``, which are stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             a, b = ([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(c)] for c in ("ga", "gb"))
             hit = pa.array([linked(x, y, percent, orders) for x, y in zip(a, b)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(hit), batch.column("b").filter(hit)], names=["u", "v"])
 
     held = _held_sets(sets, _marks(pairs))
-    rows = pairs.select("a", "b", "a_row", "b_row")
-    rows = rows.join(held.select(F.col("row").alias("b_row"), F.col("grams").alias("gb")), "b_row")
-    rows = rows.join(held.select(F.col("row").alias("a_row"), F.col("grams").alias("ga")), "a_row")
+    rows = pairs.join(held.select(F.col("row").alias("b"), F.col("grams").alias("gb")), "b")
+    rows = rows.join(held.select(F.col("row").alias("a"), F.col("grams").alias("ga")), "a")
     return write_through(rows.select("a", "b", "ga", "gb").mapInArrow(run, "u long, v long"), "links")
 
 
@@ -368,28 +513,33 @@ def similar_groups(
     Two documents link when 100 times their common tokens are at least ``percent`` times all
     their tokens; ``component_id`` is the smallest id that links reach.
     """
-    sets = write_through(token_sets(documents, text, id_column, size), "sets")
-    classes = write_through(
-        sets.groupBy("cls").agg(
-            F.min("doc_id").alias("doc"), F.max("n").alias("n"), (F.min("proof") != F.max("proof")).alias("clash")
-        ),
-        "classes",
-    )
-    if classes.filter("clash").limit(1).count():
-        raise ArithmeticError("two different sets have one 64-bit digest; use another seed")
-    rows = prefix_rows(sets, token_counts(sets), percent)
-    dealt = rows.repartition("token", "salt").sortWithinPartitions("token", "salt", "cls", "row")
-    buckets = write_through(dealt.mapInArrow(_with_pivots, BUCKET), "buckets")
-    first = write_through(pivot_pairs(buckets, percent), "pairs")
-    links = verified(first, sets, percent, orders)
-    rest = write_through(remaining_pairs(buckets, components(links), first, percent), "pairs")
-    roots = components(links.unionAll(verified(rest, sets, percent, orders)))
-    placed = classes.join(roots, classes["cls"] == roots["node"], "left").select("cls", "doc", F.coalesce("root", "cls").alias("root"))
-    least = placed.groupBy("root").agg(F.min("doc").alias("component_id"))
-    known = placed.join(least, "root").select("cls", "component_id")
-    own = sets.select("doc_id", "text_key", "cls", "n").join(known, "cls", "left")
-    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return own.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), "text_key")
+    spark = documents.sparkSession
+    with small_batches(spark), temporary_steps(spark) as steps:
+        sets = write_through(token_sets(documents, text, id_column, size), "sets")
+        first = F.min(F.when(F.col("grams").isNotNull(), F.col("row"))).alias("head")
+        clash = (F.min("proof") != F.max("proof")).alias("clash")
+        classes = sets.groupBy("cls").agg(F.min("doc_id").alias("doc"), first, clash)
+        classes = write_through(classes, "classes")
+        if classes.filter("clash").limit(1).count():
+            raise ArithmeticError("two different sets have one 64-bit digest; use another seed")
+        buckets = near_buckets(sets, percent)
+        near = buckets.filter("other is not null").select(F.col("row").alias("a"), F.col("other").alias("b"), F.col("n").alias("apart"))
+        near = write_through(near.distinct(), "near")
+        roots = spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("root"))
+        links = None
+        tried = None
+        for turn in range(ROUNDS + 1):
+            pairs = candidate_pairs(near, buckets, roots, tried, percent, turn, turn == ROUNDS)
+            tried = pairs if tried is None else tried.unionAll(pairs)
+            found = verified(pairs, sets, percent, orders)
+            links = found if links is None else links.unionAll(found)
+            roots = components(links)
+        placed = classes.join(roots, classes["head"] == roots["node"], "left").select("cls", "doc", F.coalesce("root", "head").alias("root"))
+        least = placed.groupBy("root").agg(F.min("doc").alias("component_id"))
+        known = placed.join(least, "root").select("cls", "component_id")
+        own = sets.select("doc_id", "text_key", "cls", "n").join(known, "cls", "left")
+        component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+        return steps.keep(own.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), "text_key"), "similar-groups")
 
 
 def drop_similar(documents: DataFrame, size: int = 5, percent: int = 80, text: str = "text", id_column: str = "doc_id") -> DataFrame:

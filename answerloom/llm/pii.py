@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import write_through
+from ..shared import temporary_steps, write_through
 
 KINDS = ("email", "ip", "card", "phone")  # in the order in which they are listed
 NONE = len(KINDS)
@@ -306,7 +306,8 @@ def fit_field(documents: DataFrame, text: str = "text") -> Field:
     hashed = documents.filter(F.rlike(content, F.lit("[0-9@]"))).select(F.xxhash64(content).alias("h"))
     few = hashed.distinct().orderBy("h").limit(TRAIN_ROWS)
     rows = documents.select(content.alias("t")).join(F.broadcast(few), F.xxhash64("t") == F.col("h"), "left_semi").distinct()
-    seen = write_through(rows.mapInArrow(read, "sort int, told array<long>"), "pii-sample").toArrow()  # bounded by the two limits
+    with temporary_steps(documents.sparkSession):  # bounded by the two limits
+        seen = write_through(rows.mapInArrow(read, "sort int, told array<long>"), "pii-sample").toArrow()
     sort, told = seen["sort"].to_numpy(), seen["told"].to_pylist()
     tokens = np.array([t for s, t in zip(sort, told) if s == 0], np.int64).reshape(-1, 11)
     joined = [np.array([t for s, t in zip(sort, told) if s == k], np.int64).reshape(-1, 2) for k in (1, 2)]

@@ -30,7 +30,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import write_through
+from ..shared import temporary_steps, write_through
 
 SIZES = (3, 4, 5)
 BUCKET_BITS = 20
@@ -144,6 +144,11 @@ def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def fit(documents: DataFrame, labels: DataFrame, text: str = "text", id_column: str = "doc_id", label: str = "toxic") -> ToxicityModel:
     """The classifier for ``label`` = 1, from the rows of ``labels`` (id, label) that have a text."""
+    with temporary_steps(documents.sparkSession):
+        return _fitted(documents, labels, text, id_column, label)
+
+
+def _fitted(documents: DataFrame, labels: DataFrame, text: str, id_column: str, label: str) -> ToxicityModel:
     sample, classes = training_rows(documents, labels, text, id_column, label)
     (all0, n0), (all1, n1) = classes[0], classes[1]
     if not n0 or not n1:
