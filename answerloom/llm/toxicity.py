@@ -41,7 +41,7 @@ SMOOTHING = 1.0
 REGULARISATION = 1e-3
 STEPS = 40
 THRESHOLD = 0.3
-CHARS_AT_ONCE = 1 << 20
+CHARS_AT_ONCE = 1 << 18
 
 
 def gram_buckets(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
