@@ -8,6 +8,7 @@ import re
 import zlib
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,6 +188,21 @@ def test_toxicity(spark):
     assert left.columns == frame(spark, []).columns and {r.doc_id for r in left.collect()} == {i for i, p in by_id.items() if not p}
 
 
+def test_every_term_of_the_training_texts_has_a_weight(spark):
+    """A term in 4 toxic training texts counts, and so do all buckets and not the best thousand."""
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choices("abcdefghijklm", k=6)) for _ in range(40)) for _ in range(80)]
+    rows = [(i, t + (" zyxwv" if i < 4 else "")) for i, t in enumerate(texts)]
+    known = spark.createDataFrame([(i, int(i < 8)) for i in range(80)], "doc_id long, toxic int")
+    model = toxicity.fit(frame(spark, rows), known)
+    term = toxicity.gram_buckets(["zyxwv"])[1]
+    assert (model.weights[term] > 0).all()
+    seen = np.unique(toxicity.gram_buckets([t for _, t in rows])[1])
+    assert (model.weights[seen] != 0).mean() > 0.9 and len(seen) > 5000
+    with_term, without = model.scores(["zyxwv", "nopqr"])
+    assert with_term > without
+
+
 def test_toxicity_without_labels_of_both_classes(spark):
     rows = frame(spark, [(1, "a b c"), (2, None)])
     for labels, score in (([], 0.0), ([(1, 0), (2, 0)], 0.0), ([(1, 1)], 1.0)):
