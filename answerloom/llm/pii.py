@@ -9,14 +9,16 @@ base match are clamped to its kind. Loopy message passing spreads what is known
 its like across the document; a token whose belief in a kind is at least ``BELIEF`` becomes an
 added span, together with neighbours of that kind.
 
-The field is trained piece by piece on at most ``TRAIN_ROWS`` rows (those with a digit or ``@``
-and the smallest hash of their text) and ``TRAIN_TOKENS`` tokens of each, with the base matches
-as labels: token weights by multinomial logistic regression on shape and context, potentials
-of chain and skip edges by how much more often two labels meet there than by chance.
+The field is trained piece by piece, with the base matches as labels. Potentials of chain and
+skip edges tell how much more often two labels meet there than by chance, counted over all whole
+texts. Token weights come from multinomial logistic regression on shape and context over a
+sample: of the texts with the same set of kinds, those without one included, the ``STRATUM_ROWS``
+with the smallest hash, whole. Labels weigh the same in the fit, so that rare ones are learnt; their
+shares are then corrected to those of all tokens.
 
 Whole texts are scanned where they are. Defined cases: null text is empty text and has no
 spans. Equal rows get equal results. Positions count code points, ends are exclusive. Without
-any base match in the training rows nothing is added. An empty table gives an empty result.
+any base match in all the texts nothing is added. An empty table gives an empty result.
 Null ids are ids.
 """
 
@@ -40,8 +42,7 @@ LABELS = NONE + 1
 BELIEF = 0.95
 ROUNDS = 12
 DAMPING = 0.5
-TRAIN_ROWS = 5_000
-TRAIN_TOKENS = 50
+STRATUM_ROWS = 1_000  # training texts of each set of kinds
 FEATURE_BITS = 11
 ROWS_AT_ONCE = 500
 RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string, n_added long"
@@ -120,9 +121,9 @@ class Tokens:
     label: list[int] = field(default_factory=list)  # kind of the base match, NONE without
     before: list[str] = field(default_factory=list)  # last letters in front
 
-    def add(self, doc: int, content: str, base: Sequence[Span], most: int | None = None) -> None:
-        """Take up the tokens of a text, the first ``most`` if given."""
-        done, b, taken = 0, 0, 0
+    def add(self, doc: int, content: str, base: Sequence[Span]) -> None:
+        """Take up the tokens of a text."""
+        done, b = 0, 0
         cover = sorted((s, e, k) for s, k, e in base)
         for hint in HINT.finditer(content):
             if hint.start() < done:
@@ -151,9 +152,6 @@ class Tokens:
             self.text.append(core)
             self.label.append(kind)
             self.before.append(content[max(0, start - 12) : start].lower())
-            taken += 1
-            if most is not None and taken >= most:
-                return
 
 
 SPACE = re.compile(r"\s")
@@ -275,60 +273,93 @@ class Field:
         return told
 
 
-def _meeting(pairs: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Log of how much more often two labels meet on such edges than by chance, smoothed."""
-    counts = np.ones((LABELS, LABELS))
-    if len(pairs):
-        np.add.at(counts, (label[pairs[:, 0]], label[pairs[:, 1]]), 1)
+def _meeting(counts: np.ndarray) -> np.ndarray:
+    """Log of how much more often two labels meet on such edges than by chance, smoothed, from how often they meet."""
+    counts = counts + 1.0
     counts = (counts + counts.T) / 2
     alone = counts.sum(axis=0)
     return np.log(counts * counts.sum() / np.outer(alone, alone))
 
 
-def fit_field(documents: DataFrame, text: str = "text") -> Field:
-    """The field for these documents, from its bounded sample of rows."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            contents = batch.column(0).to_pylist()
-            tokens = Tokens()
-            for i, content in enumerate(contents):
-                tokens.add(i, content, base_spans(content), TRAIN_TOKENS)
-            label, found = np.array(tokens.label, np.int64), features(tokens)
-            chain, skip = edges(tokens)
-            told = [(0, [int(x), *map(int, f)]) for x, f in zip(label, found)]
-            told += [(sort, [int(label[a]), int(label[b])]) for sort, pairs in ((1, chain), (2, skip)) for a, b in pairs]
-            yield pa.RecordBatch.from_pydict(
-                {"sort": pa.array([s for s, _ in told], pa.int32()), "told": pa.array([v for _, v in told], pa.list_(pa.int64()))}
-            )
+def _strata(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a task counts: (sort, a, b, n) of labels (sort 0) and of pairs that meet on chain (1) and skip edges (2);
+    and (3, set of kinds, hash, 0) of the texts with the smallest hashes."""
+    labels, meet = np.zeros(LABELS, np.int64), np.zeros((3, LABELS, LABELS), np.int64)
+    least: dict[int, list[int]] = {}
+    for batch in (b.slice(s, ROWS_AT_ONCE) for b in batches for s in range(0, b.num_rows, ROWS_AT_ONCE)):
+        tokens = Tokens()
+        for i, (content, h) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            base = base_spans(content)
+            tokens.add(i, content, base)
+            own = least.setdefault(sum({1 << k for _, k, _ in base}), [])
+            own.append(h)
+            if len(own) > 4 * STRATUM_ROWS:
+                own[:] = sorted(set(own))[:STRATUM_ROWS]
+        label = np.array(tokens.label, np.int64)
+        labels += np.bincount(label, minlength=LABELS)
+        for sort, pairs in zip((1, 2), edges(tokens)):
+            np.add.at(meet[sort], (label[pairs[:, 0]], label[pairs[:, 1]]), 1)
+    told = [(0, k, 0, int(n)) for k, n in enumerate(labels)]
+    told += [(sort, a, b, int(meet[sort, a, b])) for sort in (1, 2) for a in range(LABELS) for b in range(LABELS)]
+    told += [(3, kinds, h, 0) for kinds, own in least.items() for h in sorted(set(own))[:STRATUM_ROWS]]
+    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*told)], names=["sort", "a", "b", "n"])
+
+
+def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Label and features of each token, equal ones of a run together with their number."""
+    for batch in (b.slice(s, ROWS_AT_ONCE) for b in batches for s in range(0, b.num_rows, ROWS_AT_ONCE)):
+        tokens = Tokens()
+        for i, content in enumerate(batch.column(0).to_pylist()):
+            tokens.add(i, content, base_spans(content))
+        rows, n = np.unique(np.column_stack([np.array(tokens.label, np.int64), features(tokens)]), axis=0, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.list_(pa.int64())), pa.array(n)], names=["told", "n"])
+
 
+def fit_field(documents: DataFrame, text: str = "text") -> Field:
+    """The field for these documents: meetings of labels from all of them, token weights from a sample."""
     content = F.col(text)
-    hashed = documents.filter(F.rlike(content, F.lit("[0-9@]"))).select(F.xxhash64(content).alias("h"))
-    few = hashed.distinct().orderBy("h").limit(TRAIN_ROWS)
-    rows = documents.select(content.alias("t")).join(F.broadcast(few), F.xxhash64("t") == F.col("h"), "left_semi").distinct()
-    with temporary_steps(documents.sparkSession):  # bounded by the two limits
-        seen = write_through(rows.mapInArrow(read, "sort int, told array<long>"), "pii-sample").toArrow()
-    sort, told = seen["sort"].to_numpy(), seen["told"].to_pylist()
-    tokens = np.array([t for s, t in zip(sort, told) if s == 0], np.int64).reshape(-1, 11)
-    joined = [np.array([t for s, t in zip(sort, told) if s == k], np.int64).reshape(-1, 2) for k in (1, 2)]
-    label, found = tokens[:, 0], tokens[:, 1:]
-    weights = np.zeros((1 << FEATURE_BITS, LABELS))
-    if not (label != NONE).any():
-        return Field(weights, np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS)))
-    goal = np.eye(LABELS)[label]
+    rows = documents.filter(F.rlike(content, F.lit("[0-9@]"))).select(content.alias("t"), F.xxhash64(content).alias("h"))
+    with temporary_steps(documents.sparkSession):
+        counted = rows.mapInArrow(_strata, "sort long, a long, b long, n long").groupBy("sort", "a", "b").agg(F.sum("n").alias("n"))
+        counted = write_through(counted, "pii-counts")
+        labels, meet = np.zeros(LABELS), np.zeros((3, LABELS, LABELS))
+        for r in counted.filter("sort < 3").collect():  # 55 rows at most
+            if r.sort == 0:
+                labels[r.a] = r.n
+            else:
+                meet[r.sort, r.a, r.b] = r.n
+        weights = np.zeros((1 << FEATURE_BITS, LABELS))
+        if not labels[:NONE].any():
+            return Field(weights, np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS)))
+        hashes = [counted.filter((F.col("sort") == 3) & (F.col("a") == k)).orderBy("b").limit(STRATUM_ROWS).select("b") for k in range(1 << NONE)]
+        few = hashes[0]
+        for more in hashes[1:]:
+            few = few.unionAll(more)
+        few = write_through(few, "pii-hashes")
+        taken = rows.join(F.broadcast(few), rows["h"] == few["b"], "left_semi").select("t").distinct()
+        seen = write_through(taken.mapInArrow(_examples, "told array<long>, n long"), "pii-sample")
+        seen = seen.groupBy("told").agg(F.sum("n").alias("n")).toArrow()  # different tokens of the sample
+    told = np.array(seen["told"].to_pylist(), np.int64).reshape(-1, 11)
+    n = seen["n"].to_numpy().astype(float)
+    told, n = told[order := np.lexsort(told.T)], n[order]
+    label, found = told[:, 0], told[:, 1:]
+    sampled = np.bincount(label, n, LABELS)
+    even = 1 / np.count_nonzero(sampled)
+    goal, share = np.eye(LABELS)[label], even * n / sampled[label]
     speed = np.zeros_like(weights)
     for _ in range(200):  # gradient steps with momentum on the mean log-likelihood, weights shrunk
         scores = weights[found].sum(axis=1)
         shares = np.exp(scores - scores.max(axis=1, keepdims=True))
         shares /= shares.sum(axis=1, keepdims=True)
+        apart = (shares - goal) * share[:, None]
         slope = np.zeros_like(weights)
         for j in range(found.shape[1]):
-            np.add.at(slope, found[:, j], shares - goal)
-        speed = 0.9 * speed - 0.5 * (slope / len(label) + 1e-4 * weights)
+            np.add.at(slope, found[:, j], apart)
+        speed = 0.9 * speed - 0.5 * (slope + 1e-4 * weights)
         weights += speed
-    every = np.arange(LABELS)
-    at = [_meeting(pairs, np.array(every)) if len(pairs) else np.zeros((LABELS, LABELS)) for pairs in joined]
-    return Field(weights, *at)
+    shift = np.log(np.maximum(labels, 1) / labels.sum()) - np.log(even)
+    weights += shift / found.shape[1]  # each token has so many features
+    return Field(weights, _meeting(meet[1]), _meeting(meet[2]))
 
 
 # ------------------------------------------------------------------ documents

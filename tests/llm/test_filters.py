@@ -158,6 +158,24 @@ def test_skip_edges_carry_labels_across_a_document(spark):
     assert added[1] == []
 
 
+def test_the_field_learns_from_rare_and_late_matches(spark):
+    """Base matches in few of many texts with digits, and behind 60 other numbers, are trained on."""
+    rows = [(i, f"in {1000 + i} there were {i} and") for i in range(6000)]
+    rows += [(7000 + i, " ".join(f"n{k}" for k in range(60)) + f" write to a{i}@example.com or so") for i in range(30)]
+    model = pii.fit_field(frame(spark, rows))
+    assert model.weights.any()
+    tokens = pii.Tokens()
+    tokens.add(0, "write to zz@example.com or so", [])
+    score = model.weights[pii.features(tokens)].sum(axis=1)[0]
+    assert score.argmax() == 0  # an address
+
+
+def test_meetings_are_counted_on_whole_texts(spark):
+    text = "call +1 234 567 8901 now, " + " ".join(f"w {k} x" for k in range(100, 180)) + " and call +1 234 567 8901 then"
+    model = pii.fit_field(frame(spark, [(1, text)]))
+    assert model.skip[3, 3] > 0  # the second number stands behind the 80 others
+
+
 # ------------------------------------------------------------------ toxicity
 
 
