@@ -26,7 +26,7 @@ not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -40,7 +40,7 @@ from ..shared import temporary_steps, write_through
 from .components import components
 
 ORDERS = 3  # the first by how common tokens are, the others by hashes
-SLOT_BITS = 22  # hashed counts of tokens: a table of this size whatever the data, a byte a slot
+SLOT_BITS = 22  # hashed counts of tokens: a table of this size whatever the data, four bytes a slot while counting
 CHUNK = 1 << 16
 STEPS_A_DOUBLING = 8  # levels of the logarithm of a count
 SPLIT_AT = 20_000  # a token counted more often is spread over buckets of about so many rows
@@ -162,43 +162,46 @@ def token_sets(documents: DataFrame, text: str, id_column: str, size: int) -> Da
 def token_levels(sets: DataFrame) -> np.ndarray:
     """How common the tokens of each slot are, as a level of the logarithm of their count.
 
-    Tasks count up to 255 a slot and send what they counted packed, by chunks of slots. The
-    order of tokens only has to be the same everywhere, so full slots do no harm.
+    Tasks send what they counted packed, by chunks of slots: a byte a slot, and what goes beyond
+    255 apart, so that sums are true counts and common tokens get as many buckets as they need.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SLOT_BITS, np.uint8)
+        total = np.zeros(1 << SLOT_BITS, np.uint32)
         for batch in sliced(batches):
             if batch.num_rows:
                 every = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
                 at, n = np.unique(slots(every), return_counts=True)
-                total[at] = np.minimum(255, total[at] + n)
-        yield from told({i: c for i, c in enumerate(total.reshape(-1, CHUNK)) if c.any()})
+                total[at] += n.astype(np.uint32)
+        yield from told((i, c) for i, c in enumerate(total.reshape(-1, CHUNK)) if c.any())
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums of the chunks, which come in order; one is held at a time."""
         at, total = None, np.zeros(CHUNK, np.int64)
         level = lambda counts: np.round(STEPS_A_DOUBLING * np.log2(counts + 1.0)).clip(0, 255).astype(np.uint8)
         for batch in batches:
-            for chunk, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for chunk, packed, full, beyond in zip(batch.column(0).to_pylist(), *batch.columns[1:]):
                 if at is not None and chunk != at:
-                    yield from told({at: level(total)})
+                    yield from told([(at, level(total))])
                     total[:] = 0
                 at = chunk
                 total += np.frombuffer(zlib.decompress(packed.as_py()), np.uint8)
+                total[full.values.to_numpy()] += beyond.values.to_numpy()  # each slot once
         if at is not None:
-            yield from told({at: level(total)})
+            yield from told([(at, level(total))])
 
-    def told(chunks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for chunk, counts in chunks.items():
-            packed = pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), packed], names=["chunk", "counts"])
+    def told(chunks: Iterable[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for chunk, counts in chunks:
+            packed = zlib.compress(np.minimum(counts, 255).astype(np.uint8).tobytes(), 1)
+            full = np.flatnonzero(counts > 255)
+            values = [pa.array([chunk], pa.int32()), pa.array([packed], pa.binary()), pa.array([full], pa.list_(pa.int64())), pa.array([counts[full].astype(np.int64) - 255], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(values, names=["chunk", "counts", "full", "beyond"])
 
-    schema = "chunk int, counts binary"
+    schema = "chunk int, counts binary, full array<long>, beyond array<long>"
     local = sets.filter("grams is not null").select("grams").mapInArrow(count, schema)
     levels = np.zeros(((1 << SLOT_BITS) // CHUNK, CHUNK), np.uint8)
     summed = local.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(add, schema)
-    for chunk, packed in summed.toLocalIterator():  # the table, of fixed size
+    for chunk, packed in summed.select("chunk", "counts").toLocalIterator():  # the table, of fixed size
         levels[chunk] = np.frombuffer(zlib.decompress(packed), np.uint8)
     return levels.reshape(-1)
 

@@ -137,6 +137,19 @@ def test_similar_groups(spark, monkeypatch, size, percent):
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, brute_groups(rows, size, percent)))
 
 
+def test_buckets_of_a_token_follow_its_true_count(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SPLIT_AT", 500)
+    common, rng = 5 << 50, random.Random(7)
+    sets = [(i, i, 2, np.array([common, rng.randrange(1 << 63, 1 << 64)], np.uint64).tobytes()) for i in range(4000)]
+    stored = spark.createDataFrame([(c, r, n, bytearray(g)) for c, r, n, g in sets], "cls long, row long, n int, grams binary").coalesce(1)
+    levels = jaccard_join.token_levels(stored)
+    assert levels[jaccard_join.slots(np.array([common], np.uint64))[0]] == round(8 * np.log2(4001))
+    rows = jaccard_join.prefix_rows(stored, levels, 1).filter(f"token = {common}").collect()
+    assert len(rows) == 4000 and 7 <= rows[0].parts <= 9  # counted over 255 times in a task
+    buckets = collections.Counter(r.salt for r in rows)
+    assert max(buckets.values()) < 700
+
+
 def test_every_order_keeps_linked_pairs():
     rng = np.random.default_rng(3)
     for _ in range(400):
