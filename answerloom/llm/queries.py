@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import fresh_path
-from . import bpe, exact_dedup, exact_topk, jaccard_join, packing, pii, secret_scan, sharding, toxicity, url_filters
+from . import bpe, exact_dedup, exact_topk, jaccard_join, merkle, packing, pii, secret_scan, sharding, toxicity, url_filters
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -215,6 +215,18 @@ FROM texts LEFT JOIN told USING (doc_id)
 """
 
 
+# ------------------------------------------------------------------ 11
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents by language; rows whose id's crc32 7 divides are checked with
+    ``n_chars`` one larger."""
+    documents = table(spark, sf_dir, "documents")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return merkle.manifest(documents, changed={"n_chars": tampered})
+
+
 # ------------------------------------------------------------------ pipeline
 
 
