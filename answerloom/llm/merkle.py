@@ -132,25 +132,30 @@ def manifest(rows: DataFrame, fields: tuple[str, ...] = FIELDS, key: str = "doc_
     leaves.createOrReplaceTempView(names["leaves"])
     nodes.createOrReplaceTempView(names["nodes"])
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    climbed = spark.sql(f"""
+    climb = spark.sql(f"""
         WITH RECURSIVE climb AS (
-          SELECT row_key, 0 AS tier, grp, 0 AS level, pos, start AS cur, CAST('' AS STRING) AS proof
+          SELECT row_key, 0 AS step, 0 AS tier, grp, 0 AS level, pos, start AS cur, CAST('' AS STRING) AS sibs
           FROM {names['leaves']}
           UNION ALL
-          SELECT c.row_key, n.up_tier, n.up_grp, n.up_level, n.up_pos,
+          SELECT c.row_key, c.step + 1, n.up_tier, n.up_grp, n.up_level, n.up_pos,
                  CASE WHEN n.lift THEN c.cur ELSE sha2(CAST(concat(n.lsib, c.cur, n.rsib) AS BINARY), 256) END,
-                 concat(c.proof, n.lsib, n.rsib)
+                 concat(n.lsib, n.rsib)
           FROM climb c JOIN {names['nodes']} n
             ON n.tier = c.tier AND n.grp = c.grp AND n.level = c.level AND n.pos = c.pos)
-        SELECT row_key, cur AS folded_root, sha2(CAST(proof AS BINARY), 256) AS proof_sha256
-        FROM climb WHERE tier = 1 AND level = {root_level}
+        SELECT row_key, step, sibs, IF(tier = 1 AND level = {root_level}, cur, NULL) AS top FROM climb
     """)
+    # Each step gave the siblings of one level; they are joined in order of step per leaf.
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("step", "sibs"))), lambda x: x["sibs"])
+    climbed = climb.filter((F.col("sibs") != "") | F.col("top").isNotNull()).groupBy("row_key").agg(
+        F.max("top").alias("folded_root"), sha(F.array_join(ordered, "")).alias("proof_sha256")
+    )
     return (
-        leaves.join(climbed, "row_key")
+        leaves.join(climbed, "row_key", "left")
         .join(subroots.select("grp", "subroot"), "grp")
         .select(
-            F.col("key").alias(key), "leaf", "subroot", F.lit(root).cast("string").alias("root"), "proof_sha256", "folded_root",
-            (F.col("folded_root") == F.lit(root)).alias("verified"),
+            F.col("key").alias(key), "leaf", "subroot", F.lit(root).cast("string").alias("root"),
+            F.coalesce("proof_sha256", sha(F.lit(""))).alias("proof_sha256"), F.coalesce("folded_root", "start").alias("folded_root"),
+            (F.coalesce("folded_root", "start") == F.lit(root)).alias("verified"),
         )
     )
 
