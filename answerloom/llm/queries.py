@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import fresh_path
-from . import bpe, exact_dedup, exact_topk, jaccard_join, merkle, packing, pii, secret_scan, sharding, toxicity, url_filters
+from . import bpe, exact_dedup, exact_topk, jaccard_join, merkle, packing, periodic_runs, pii, secret_scan, sharding, toxicity, url_filters
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -227,6 +227,16 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents, changed={"n_chars": tampered})
 
 
+# ------------------------------------------------------------------ 12
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of three periods and 24 words or more in every document, a periodic tail planted
+    where the id's crc32 ends in 0."""
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
+
+
 # ------------------------------------------------------------------ pipeline
 
 
