@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import fresh_path
-from . import bpe, exact_dedup, exact_topk, jaccard_join, merkle, packing, periodic_runs, pii, secret_scan, sharding, toxicity, url_filters
+from . import bpe, exact_dedup, exact_topk, jaccard_join, merkle, mixing, packing, periodic_runs, pii, secret_scan, sharding, toxicity, url_filters
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -237,6 +237,58 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
 
 
+# ------------------------------------------------------------------ 13
+
+# Weights and schedules go to the sources in turn, in order of their names.
+MIX_WEIGHTS = (1, 2, 3)
+MIX_CAP = 3.0
+MIX_SCHEDULES = (
+    mixing.Schedule(((0.0, 1.0), (1.0, 1.0))),  # even
+    mixing.Schedule(((0.0, 0.5), (1.0, 1.5))),  # rising
+    mixing.Schedule(((0.0, 1.5), (0.5, 1.0), (1.0, 0.5))),  # falling
+)
+
+
+@query
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, the documents range-sorted by their first
+    training position."""
+    plan = mixing.plan_mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_CAP, MIX_SCHEDULES)
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE["op13_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+r AS (
+  SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) AS src
+  FROM d GROUP BY source),
+w AS (
+  SELECT *, [1, 2, 3][(src % 3) + 1]::BIGINT AS weight, floor(3.0 * source_size)::BIGINT AS lim,
+         sum(source_size) OVER ()::BIGINT AS total FROM r),
+o AS (
+  SELECT *, total - coalesce(sum(lim) OVER (ORDER BY lim / weight, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lft,
+         sum(weight) OVER (ORDER BY lim / weight, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest,
+         row_number() OVER (ORDER BY lim / weight, src) AS room_rank FROM w),
+f AS (SELECT *, min(CASE WHEN lim * rest >= lft * weight THEN room_rank END) OVER () AS first_fit FROM o),
+t AS (
+  SELECT source, source_size,
+         CASE WHEN room_rank < first_fit THEN lim::DOUBLE
+              ELSE max(CASE WHEN room_rank = first_fit THEN lft::DOUBLE / rest END) OVER () * weight END AS target
+  FROM f),
+u AS (
+  SELECT d.doc_id, d.size, t.source_size, coalesce(t.target, 0.0) AS target,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(d.doc_id::VARCHAR, '')), d.doc_id NULLS FIRST, d.size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS w_at
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       (greatest(0, least(size, floor(target)::BIGINT - w_at)) + greatest(0, least(size, floor(target)::BIGINT - source_size - w_at))
+        + greatest(0, least(size, floor(target)::BIGINT - 2 * source_size - w_at))
+        + greatest(0, least(size, floor(target)::BIGINT - 3 * source_size - w_at)))::BIGINT AS taken
+FROM u
+"""
+
+
 # ------------------------------------------------------------------ pipeline
 
 
