@@ -6,8 +6,10 @@ language) are numbered in order of id; each level pairs consecutive nodes and ha
 (a last node without partner is hashed alone) until one node, the group's subroot, remains.
 The subroots, in order of group, build the root in the same way.
 
-Levels are built by Spark, one grouped step a level, and stored as node rows that point to
-their parent and carry the hashes of their siblings to the left and to the right. Proofs come
+Levels are built by Spark, one grouped step a level, and stored as node rows that carry the
+hash of their sibling and its side; a node's parent is found from its place (half of it, or,
+for a group's top, the group's place among the subroots). Digests travel as 32 bytes and are
+written as hex only where they are hashed or returned. Proofs come
 from one recursive query: each leaf starts at its own node and climbs, appending the siblings
 it meets and folding its hash with them, until it reaches the root. Given a changed leaf, the
 same climb folds the changed hash; the result equals the root only where nothing changed.
@@ -31,13 +33,22 @@ from ..operators.numbering import number_rows
 from ..shared import write_through
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-NODE = "tier int, grp long, level int, pos long, lsib string, rsib string, lift boolean, up_tier int, up_grp long, up_level int, up_pos long"
+NODE = "tier int, grp long, level int, pos long, sib binary, sib_left boolean, lift boolean"
+PLACE_BITS = 40  # a row's key is its group's number and its place there, in one long
 
 
 def sha(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def digest(text: Column) -> Column:
+    return F.unhex(sha(text))
+
+
+def hexed(value: Column) -> Column:
+    return F.lower(F.hex(value))
+
+
 def field(value: Column) -> Column:
     """``-`` for null, else the UTF-8 byte count, ``:`` and the value as text."""
     text = value.cast("string")
@@ -45,7 +56,7 @@ def field(value: Column) -> Column:
 
 
 def leaf_of(*values: Column) -> Column:
-    return sha(F.concat(*[field(v) for v in values]))
+    return digest(F.concat(*[field(v) for v in values]))
 
 
 def _levels(base: DataFrame, tier: int) -> tuple[DataFrame, DataFrame, int]:
@@ -61,37 +72,23 @@ def _levels(base: DataFrame, tier: int) -> tuple[DataFrame, DataFrame, int]:
     level_rows = base
     for level in range(height + 1):
         width = F.ceil(F.col("n") / F.lit(2**level))  # nodes of the group at this level
-        open_ = level_rows.filter(width > 1)
         tops.append(level_rows.filter(width <= 1).select("grp", "hash", F.lit(level).alias("level")))
         if level == height:
             break
         pair = Window.partitionBy("grp", F.floor(F.col("pos") / 2)).orderBy("pos")
-        sided = open_.select(
-            "grp",
-            "pos",
-            "hash",
-            "n",
-            F.coalesce(F.lag("hash").over(pair), F.lit("")).alias("lsib"),
-            F.coalesce(F.lead("hash").over(pair), F.lit("")).alias("rsib"),
+        sided = level_rows.filter(width > 1).select(
+            "grp", "pos", "hash", "n", F.lag("hash").over(pair).alias("before"), F.lead("hash").over(pair).alias("after")
         )
         sided = write_through(sided, f"merkle-{tier}-{level}")
         nodes.append(
             sided.select(
-                F.lit(tier).alias("tier"),
-                "grp",
-                F.lit(level).alias("level"),
-                "pos",
-                "lsib",
-                "rsib",
-                F.lit(False).alias("lift"),
-                F.lit(tier).alias("up_tier"),
-                "grp",
-                F.lit(level + 1).alias("up_level"),
-                F.floor(F.col("pos") / 2).alias("up_pos"),
-            ).toDF(*[c.split(" ")[0] for c in NODE.split(", ")])
+                F.lit(tier).alias("tier"), "grp", F.lit(level).alias("level"), "pos",
+                F.coalesce("before", "after").alias("sib"), F.col("before").isNotNull().alias("sib_left"), F.lit(False).alias("lift"),
+            )
         )
         level_rows = sided.filter(F.col("pos") % 2 == 0).select(
-            "grp", F.floor(F.col("pos") / 2).alias("pos"), sha(F.concat("hash", "rsib")).alias("hash"), "n"
+            "grp", F.floor(F.col("pos") / 2).alias("pos"),
+            digest(F.concat(hexed(F.col("hash")), F.coalesce(hexed(F.col("after")), F.lit("")))).alias("hash"), "n",
         )
     union = spark.createDataFrame([], NODE)
     for part in nodes:
@@ -104,7 +101,8 @@ def _levels(base: DataFrame, tier: int) -> tuple[DataFrame, DataFrame, int]:
 
 def manifest(rows: DataFrame, fields: tuple[str, ...] = FIELDS, key: str = "doc_id", group: str = "lang",
              changed: dict[str, Column] | None = None) -> DataFrame:
-    """(key, leaf, subroot, root, proof_sha256, folded_root, verified) of every row.
+    """(key, leaf, subroot, root, proof_sha256, folded_root, verified) of every row, digests in
+    lowercase hex.
 
     ``changed`` may give new values of some fields, as columns of ``rows``: the fold then starts
     from the leaf of the changed row and climbs with the original siblings, as a check of a
@@ -121,11 +119,10 @@ def manifest(rows: DataFrame, fields: tuple[str, ...] = FIELDS, key: str = "doc_
 
     lifts = subroots.select(
         F.lit(0).alias("tier"), "grp", F.col("sub_level").alias("level"), F.lit(0).cast("long").alias("pos"),
-        F.lit("").alias("lsib"), F.lit("").alias("rsib"), F.lit(True).alias("lift"),
-        F.lit(1).alias("up_tier"), F.lit(0).cast("long").alias("up_grp"), F.lit(0).alias("up_level"), F.col("grp").alias("up_pos"),
+        F.lit(None).cast("binary").alias("sib"), F.lit(False).alias("sib_left"), F.lit(True).alias("lift"),
     )
     nodes = write_through(inner.unionByName(lifts).unionByName(outer), "merkle-nodes")
-    found = root_row.select("hash").first()  # the one node left at the top, if any rows
+    found = root_row.select(hexed(F.col("hash"))).first()  # the one node left at the top, if any rows
     root = found[0] if found else None
 
     names = {n: f"merkle_{n}_{uuid4().hex}" for n in ("leaves", "nodes")}
@@ -134,28 +131,31 @@ def manifest(rows: DataFrame, fields: tuple[str, ...] = FIELDS, key: str = "doc_
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     climb = spark.sql(f"""
         WITH RECURSIVE climb AS (
-          SELECT row_key, 0 AS step, 0 AS tier, grp, 0 AS level, pos, start AS cur, CAST('' AS STRING) AS sibs
+          SELECT row_key, 0 AS step, 0 AS tier, grp, 0 AS level, pos, start AS cur, CAST(NULL AS BINARY) AS sib
           FROM {names['leaves']}
           UNION ALL
-          SELECT c.row_key, c.step + 1, n.up_tier, n.up_grp, n.up_level, n.up_pos,
-                 CASE WHEN n.lift THEN c.cur ELSE sha2(CAST(concat(n.lsib, c.cur, n.rsib) AS BINARY), 256) END,
-                 concat(n.lsib, n.rsib)
+          SELECT c.row_key, c.step + 1,
+                 IF(n.lift, 1, c.tier), IF(n.lift, 0L, c.grp), IF(n.lift, 0, c.level + 1), IF(n.lift, c.grp, c.pos DIV 2),
+                 IF(n.lift, c.cur, unhex(sha2(CAST(concat(IF(n.sib_left, lower(hex(n.sib)), ''), lower(hex(c.cur)),
+                                                          IF(n.sib_left, '', coalesce(lower(hex(n.sib)), ''))) AS BINARY), 256))),
+                 n.sib
           FROM climb c JOIN {names['nodes']} n
             ON n.tier = c.tier AND n.grp = c.grp AND n.level = c.level AND n.pos = c.pos)
-        SELECT row_key, step, sibs, IF(tier = 1 AND level = {root_level}, cur, NULL) AS top FROM climb
+        SELECT row_key, step, sib, IF(tier = 1 AND level = {root_level}, cur, NULL) AS top FROM climb
     """)
-    # Each step gave the siblings of one level; they are joined in order of step per leaf.
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("step", "sibs"))), lambda x: x["sibs"])
-    climbed = climb.filter((F.col("sibs") != "") | F.col("top").isNotNull()).groupBy("row_key").agg(
-        F.max("top").alias("folded_root"), sha(F.array_join(ordered, "")).alias("proof_sha256")
+    # Each step gave the sibling of one level, if any; they are joined in order of step per leaf.
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("step", hexed(F.col("sib")).alias("h")))), lambda x: x["h"])
+    climbed = climb.filter(F.col("sib").isNotNull() | F.col("top").isNotNull()).groupBy("row_key").agg(
+        F.max("top").alias("folded"), sha(F.array_join(ordered, "")).alias("proof_sha256")
     )
+    folded = hexed(F.coalesce("folded", "start"))
     return (
         leaves.join(climbed, "row_key", "left")
         .join(subroots.select("grp", "subroot"), "grp")
         .select(
-            F.col("key").alias(key), "leaf", "subroot", F.lit(root).cast("string").alias("root"),
-            F.coalesce("proof_sha256", sha(F.lit(""))).alias("proof_sha256"), F.coalesce("folded_root", "start").alias("folded_root"),
-            (F.coalesce("folded_root", "start") == F.lit(root)).alias("verified"),
+            F.col("key").alias(key), hexed(F.col("leaf")).alias("leaf"), hexed(F.col("subroot")).alias("subroot"),
+            F.lit(root).cast("string").alias("root"), F.coalesce("proof_sha256", sha(F.lit(""))).alias("proof_sha256"),
+            folded.alias("folded_root"), (folded == F.lit(root)).alias("verified"),
         )
     )
 
@@ -163,8 +163,8 @@ def manifest(rows: DataFrame, fields: tuple[str, ...] = FIELDS, key: str = "doc_
 def with_leaves(rows: DataFrame, fields: tuple[str, ...] = FIELDS, key: str = "doc_id", group: str = "lang",
                 changed: dict[str, Column] | None = None) -> DataFrame:
     """(row_key, key, grp, pos, n, leaf, start) of every row: its group's number, its place there,
-    the group's size, its leaf and the leaf of its changed fields. ``row_key`` is (group number,
-    place)."""
+    the group's size, its leaf and the leaf of its changed fields. ``row_key`` is group number
+    and place in one long."""
     changed = changed or {}
     leafy = rows.select(
         F.col(key).alias("key"),
@@ -177,4 +177,5 @@ def with_leaves(rows: DataFrame, fields: tuple[str, ...] = FIELDS, key: str = "d
     tagged = leafy.join(numbered_groups, leafy["gval"].eqNullSafe(numbered_groups["gval"])).select("key", "leaf", "start", "grp")
     placed = number_rows(tagged, [F.col("key").asc_nulls_first(), F.col("leaf")], "pos", within="grp")
     sizes = placed.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    return placed.join(sizes, "grp").select(F.struct("grp", "pos").alias("row_key"), "key", "grp", "pos", "n", "leaf", "start")
+    row_key = F.shiftleft(F.col("grp"), PLACE_BITS).bitwiseOR(F.col("pos"))
+    return placed.join(sizes, "grp").select(row_key.alias("row_key"), "key", "grp", "pos", "n", "leaf", "start")
