@@ -11,7 +11,8 @@ equal context. Equal-context pairs of selected positions that far apart propose
 each proposal is extended word by word to its maximal stretch and kept if it is a run of
 smallest period. Windows that repeat a period of at most t/3 would make selection dense and
 are never selected; they are exactly the windows inside runs of such small periods, which the
-lower scales found already. Periods 1 and 2 are compared directly.
+lower scales found already. Periods 1 and 2 are compared directly. Once no 2t words repeat
+anywhere in the text, no longer context repeats either, and the scales stop.
 
 Each document is handled in its task, with numpy; texts are whole and stay where they are.
 All work of a scale is linear in the words of the text, so a text costs its length times the
@@ -28,16 +29,18 @@ import re
 import zlib
 from collections.abc import Iterator
 from fractions import Fraction
+from itertools import compress
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LEAST_LENGTH = 24  # a reported run has at least so many words, and three periods
-MODULI = (2147483647, 2147483629)  # two primes below 2^31 for window hashes
-BASES = (1_000_003, 998_244_353)
+MODULUS = 2147483647  # a prime below 2^31 for window hashes; equal hashes are only proposals
+BASE = 1_000_003
 INF = np.iinfo(np.int64).max
 SLICE_ROWS = 64  # texts turned into Python strings at a time
 RESULT = (
@@ -61,30 +64,25 @@ def planted(words: list[str], doc_id: int | None) -> list[str]:
 
 
 def word_ids(words: list[str]) -> np.ndarray:
-    seen: dict[str, int] = {}
-    return np.fromiter((seen.setdefault(w, len(seen)) for w in words), dtype=np.int64, count=len(words))
+    if not words:
+        return np.zeros(0, dtype=np.int64)
+    return pd.factorize(np.array(words, dtype=object))[0].astype(np.int64)
 
 
 class Hashes:
     """Hashes of every window of the words, for any window length, from prefix sums."""
 
     def __init__(self, ids: np.ndarray):
-        n = len(ids)
-        self.parts = []
-        for m, b in zip(MODULI, BASES):
-            value = (ids * 2654435761 + 97) % m
-            power = _powers(b, n + 1, m)
-            inverse = _powers(pow(b, m - 2, m), n + 1, m)
-            prefix = np.concatenate([[0], np.cumsum(value * power[:n] % m)])  # below 2^63 for n < 2^32
-            self.parts.append((m, prefix, inverse))
+        n, m = len(ids), MODULUS
+        value = (ids * 2654435761 + 97) % m
+        power = _powers(BASE, n + 1, m)
+        self.inverse = _powers(pow(BASE, m - 2, m), n + 1, m)
+        self.prefix = np.concatenate([[0], np.cumsum(value * power[:n] % m)])  # below 2^63 for n < 2^32
 
     def windows(self, t: int) -> np.ndarray:
         """Hash of the t words from each position, for positions 0 to n - t."""
-        out = np.zeros(len(self.parts[0][1]) - t, dtype=np.int64)
-        for m, prefix, inverse in self.parts:
-            own = (prefix[t:] - prefix[:-t]) % m * inverse[: len(out)] % m
-            out = out * (1 << 31) + own
-        return out
+        count = len(self.prefix) - t
+        return (self.prefix[t:] - self.prefix[:-t]) % MODULUS * self.inverse[:count] % MODULUS
 
 
 def _powers(base: int, count: int, m: int) -> np.ndarray:
@@ -176,6 +174,9 @@ def cubic_runs(ids: np.ndarray) -> list[tuple[int, int, int]]:
     hashes = Hashes(ids)
     t = 1
     while 9 * t <= n:  # periods from 3t to 6t need 9t words at least
+        contexts = hashes.windows(2 * t)
+        if len(np.unique(contexts)) == len(contexts):
+            break  # no 2t words repeat, so no longer context does: no proposal at this or any later scale
         window = hashes.windows(t)  # positions 0 .. n - t
         marks = np.zeros(len(window) + 1, dtype=np.int64)
         for s, e, p in found:
@@ -221,7 +222,7 @@ def describe(text: str | None, doc_id: int | None) -> tuple:
         drop[s + q] += 1
         drop[s + length] -= 1
     kept = np.cumsum(drop)[: len(words)] == 0
-    collapsed = " ".join(w for w, k in zip(words, kept.tolist()) if k)
+    collapsed = " ".join(compress(words, kept.tolist()) if runs else words)
     best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
     head = (best[0], best[1], best[2], 1000 * best[1] // best[2]) if best else (None, None, None, None)
     return (
