@@ -540,9 +540,6 @@ UNION ALL SELECT 'queries csv',
   (split_part(qid, '-', 1)::BIGINT * 1000 + split_part(qid, '-', 2)::BIGINT)::VARCHAR, md5(question) FROM records
 UNION ALL SELECT 'answers json', qid, md5(coalesce(gold, '')) FROM records
 UNION ALL SELECT 'scores parquet', qid, md5(unknown::VARCHAR) FROM scores""",
-    "lda_topics": f"""
-SELECT range::BIGINT AS topic, {fixed.TOPIC_WORDS}::BIGINT AS words, 1::BIGINT AS falling FROM range({fixed.TOPICS})""",
-    "dominant_topic": "SELECT doc_id AS id, 1::BIGINT AS sound FROM documents",
     "leading_topic": f"""
 WITH squares AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * x::DOUBLE * 1e6) / 1e6::DOUBLE) AS s FROM embeddings),

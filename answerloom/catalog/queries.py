@@ -200,24 +200,16 @@ def _topic_model(spark: SparkSession, sf_dir: str):
 
 @query
 def lda_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What holds for any fit: each topic has its words at ranks 1 to 20, weights falling."""
+    """The 20 heaviest words of each topic of all passages, with their normalised weights."""
     words = _topic_model(spark, sf_dir)[0]
-    listed_words = F.array_sort(F.collect_list(F.struct("rank", "weight")))
-    topics = words.groupBy("topic").agg(listed_words.alias("w"), F.count_distinct("token").alias("words"))
-    ranks = F.forall(F.transform("w", lambda x, i: x["rank"] == i + 1), lambda ok: ok)
-    weights = F.col("w.weight")
-    falling = F.array_sort(weights) == F.reverse(weights)
-    return topics.select(*_long("topic", "words"), (ranks & falling).cast("int").cast("long").alias("falling"))
+    return words.select(*_long("topic", "rank"), "token", six(F.col("weight")).alias("weight"))
 
 
 @query
 def dominant_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What holds for any fit: each document has one topic, with a share between 1/5 and 1, or
-    no topic and no share if it has no word of the vocabulary."""
+    """Leading topic of every passage and its share; no topic and share 0 without a vocabulary word."""
     lead = _topic_model(spark, sf_dir)[1]
-    sound = F.col("topic").between(0, fixed.TOPICS - 1) & F.col("share").between(0.999 / fixed.TOPICS, 1.001)
-    sound = F.when(F.col("topic").isNull(), F.col("share") == 0).otherwise(sound)
-    return lead.select("id", F.coalesce(sound, F.lit(False)).cast("int").cast("long").alias("sound"))
+    return lead.select("id", F.col("topic").cast("long").alias("topic"), six(F.col("share")).alias("share"))
 
 
 @query

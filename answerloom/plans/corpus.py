@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions import text as tx
-from ..operators import corpus, profile, tokens, topics
+from ..operators import corpus, lda, profile, tokens
 from ..shared import write_through
 from ..sources import tables
 
@@ -41,15 +41,25 @@ def profile_corpus(passages: DataFrame, text: str = "passage") -> DataFrame:
 
 
 def topic_report(
-    passages: DataFrame, stop_words: list[str] | None = None, **fit
+    passages: DataFrame,
+    stop_words: list[str] | None = None,
+    topics: int = fixed.TOPICS,
+    passes: int = fixed.TOPIC_PASSES,
+    seed: int = fixed.TOPIC_SEED,
 ) -> tuple[DataFrame, DataFrame]:
-    """Topic words, and the dominant topic of each passage."""
+    """Topic words ``(topic, rank, token, weight)``, and the dominant topic of each passage
+    ``(id, topic, share)``.
+
+    Batch variational Bayes over word counts; the words stay in tables, see ``operators.lda``.
+    """
     documents = tokens.content_words(passages, stop_words=stop_words).select("id", "tokens")
     documents = write_through(documents, "tokens")
-    vectors, names = tokens.count_vectors(documents, tokens.vocabulary(documents))
-    vectors = write_through(vectors.drop("tokens"), "counts")
-    model = topics.fit_topics(vectors, **fit)
-    return topics.topic_words(model, names), topics.dominant_topics(model, vectors)
+    words = lda.number_words(tokens.vocabulary(documents))
+    counts = lda.word_counts(tokens.bag_of_words(documents, words, "id"), words, "id")
+    model = lda.fit(counts, words, lda.Settings(topics=topics, passes=passes, seed=seed))
+    described = lda.topic_words(model.table, words, topics, fixed.TOPIC_WORDS)
+    leads = lda.leading_topics(model.gammas(), documents, "id", fixed.MIN_TOPIC_SHARE)
+    return described, leads
 
 
 def length_histograms(passages: DataFrame, bins: int = 10) -> DataFrame:
