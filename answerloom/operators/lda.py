@@ -3,8 +3,9 @@
 Words are numbered by their place in the sorted vocabulary, from per-partition counts; a
 document becomes rows (doc, word, n) by grouped counting. The topic-word table holds one row a
 word: the K variational parameters of its topic weights. Each pass joins the counts to the
-table by word, updates every document's topic parameters in its group (numpy, until they
-change less than ``doc_tolerance``), and sends back, for each word a document holds, what it
+table by word, updates the topic parameters of the documents of a task (numpy, rows sorted
+by document, each document until its parameters change less than ``DOC_TOLERANCE``), and sends
+back, for each word a document holds, what it
 adds to the word's weights; summed by word, these are the next table, written to the shared
 folder partitioned by word. The driver holds K totals a pass, never words or vectors.
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,23 +62,35 @@ def digamma(x: np.ndarray) -> np.ndarray:
     return out + np.log(x) - 0.5 / x - series
 
 
-def update_document(counts: np.ndarray, weights: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
-    """Topic parameters of one document and what it adds to each of its words' weights.
+def update_documents(place: np.ndarray, counts: np.ndarray, weights: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
+    """Topic parameters of documents and what each adds to its words' weights.
 
-    ``weights`` holds exp(E[log beta]) of the document's words, one row a word.
+    Rows are (document, word) pairs sorted by document; ``place`` is the document's number
+    (0, 1, ...) of each row and ``weights`` holds exp(E[log beta]) of the row's word. Each
+    document steps until its parameters change by less than ``DOC_TOLERANCE`` on average,
+    then keeps them while the others go on.
     """
-    gamma = np.ones(weights.shape[1])
+    starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    gamma = np.ones((len(starts), weights.shape[1]))
+    active = np.ones(len(starts), dtype=bool)
     for _ in range(DOC_STEPS):
-        theta = np.exp(digamma(gamma) - digamma(gamma.sum()))
-        norm = weights @ theta + 1e-100
-        new = alpha + theta * ((counts / norm) @ weights)
-        change = np.abs(new - gamma).mean()
-        gamma = new
-        if change < DOC_TOLERANCE:
+        theta = np.exp(digamma(gamma) - digamma(gamma.sum(axis=1))[:, None])
+        norm = (weights * theta[place]).sum(axis=1) + 1e-100
+        new = alpha + theta * np.add.reduceat((counts / norm)[:, None] * weights, starts, axis=0)
+        change = np.abs(new - gamma).mean(axis=1)
+        gamma = np.where(active[:, None], new, gamma)
+        active &= change >= DOC_TOLERANCE
+        if not active.any():
             break
-    theta = np.exp(digamma(gamma) - digamma(gamma.sum()))
-    norm = weights @ theta + 1e-100
-    return gamma, (counts / norm)[:, None] * theta[None, :] * weights
+    theta = np.exp(digamma(gamma) - digamma(gamma.sum(axis=1))[:, None])
+    norm = (weights * theta[place]).sum(axis=1) + 1e-100
+    return gamma, (counts / norm)[:, None] * theta[place] * weights
+
+
+def update_document(counts: np.ndarray, weights: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`update_documents` for the words of one document."""
+    gamma, add = update_documents(np.zeros(len(counts), dtype=np.int64), counts, weights, alpha)
+    return gamma[0], add
 
 
 def expected_weights(table: np.ndarray, totals: np.ndarray) -> np.ndarray:
@@ -113,20 +126,50 @@ def _totals(table: DataFrame, topics: int) -> np.ndarray:
     return np.array([row[k] or 0.0 for k in range(topics)])
 
 
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    width = rows.shape[1] if rows.ndim == 2 else 0
+    offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * width)
+    return pa.ListArray.from_arrays(offsets, pa.array(rows.ravel(), pa.float64()))
+
+
 def e_step(counts: DataFrame, table: DataFrame, totals: np.ndarray, settings: Settings, gammas: bool = False) -> DataFrame:
-    """One pass over all documents: (word, add) rows, or (doc, gamma) rows with ``gammas``."""
-    alpha = settings.doc_prior
-    joined = counts.join(table, "word")
+    """One pass over all documents: (word, add) rows, or (doc, gamma) rows with ``gammas``.
 
-    def update(rows: pd.DataFrame) -> pd.DataFrame:
-        lam = np.stack(rows["lam"].to_numpy())
-        gamma, add = update_document(rows["n"].to_numpy(), expected_weights(lam, totals), alpha)
+    The counts meet the table by word; then each document's rows come together in one task,
+    sorted, and the documents of an Arrow batch step together. A document that runs over the
+    end of a batch waits for the next one.
+    """
+    alpha, topics = settings.doc_prior, settings.topics
+    joined = counts.join(table, "word").repartition("doc").sortWithinPartitions("doc")
+
+    def update(rows: pa.Table) -> pa.RecordBatch:
+        docs = rows.column("doc").to_numpy()
+        place = np.cumsum(np.r_[0, docs[1:] != docs[:-1]])
+        lam = rows.column("lam").combine_chunks().flatten().to_numpy().reshape(-1, topics)
+        gamma, add = update_documents(place, rows.column("n").to_numpy(), expected_weights(lam, totals), alpha)
         if gammas:
-            return pd.DataFrame({"doc": rows["doc"].iloc[:1], "gamma": [gamma.tolist()]})
-        return pd.DataFrame({"word": rows["word"].to_numpy(), "add": list(add)})
+            firsts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
+            return pa.RecordBatch.from_arrays([pa.array(docs[firsts]), _lists(gamma)], names=["doc", "gamma"])
+        return pa.RecordBatch.from_arrays([rows.column("word").combine_chunks(), _lists(add)], names=["word", "add"])
+
+    def run(batches):
+        waiting = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if waiting is not None:
+                rows = pa.concat_tables([waiting, rows])
+            if rows.num_rows == 0:
+                continue
+            docs = rows.column("doc").to_numpy()
+            cut = int(np.searchsorted(docs, docs[-1]))  # the last document may go on in the next batch
+            waiting = rows.slice(cut)
+            if cut:
+                yield update(rows.slice(0, cut))
+        if waiting is not None and waiting.num_rows:
+            yield update(waiting)
 
     schema = "doc long, gamma array<double>" if gammas else "word long, add array<double>"
-    return joined.groupBy("doc").applyInPandas(update, schema)
+    return joined.select("doc", "word", "n", "lam").mapInArrow(run, schema)
 
 
 @dataclass

@@ -49,7 +49,7 @@ def test_fit_equals_numpy(spark):
     got = np.zeros_like(want)
     for r in model.table.collect():
         got[r.word] = r.lam
-    assert np.allclose(got, want, rtol=1e-9, atol=1e-12)
+    assert np.allclose(got, want, rtol=1e-6, atol=1e-9)
     assert sorted(r.token for r in words.collect()) == [r.token for r in words.orderBy("word").collect()]
 
 
