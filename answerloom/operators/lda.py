@@ -68,20 +68,32 @@ def update_documents(place: np.ndarray, counts: np.ndarray, weights: np.ndarray,
     Rows are (document, word) pairs sorted by document; ``place`` is the document's number
     (0, 1, ...) of each row and ``weights`` holds exp(E[log beta]) of the row's word. Each
     document steps until its parameters change by less than ``DOC_TOLERANCE`` on average,
-    then keeps them while the others go on.
+    then keeps them while the others go on; the rows of settled documents are dropped from
+    the work once they are half of it.
     """
     starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
     gamma = np.ones((len(starts), weights.shape[1]))
-    active = np.ones(len(starts), dtype=bool)
+    ids = np.arange(len(starts))  # documents in the work
+    g, w_place, w_counts, w_weights, w_starts = gamma.copy(), place, counts, weights, starts
+    live = np.ones(len(ids), dtype=bool)
     for _ in range(DOC_STEPS):
-        theta = np.exp(digamma(gamma) - digamma(gamma.sum(axis=1))[:, None])
-        norm = (weights * theta[place]).sum(axis=1) + 1e-100
-        new = alpha + theta * np.add.reduceat((counts / norm)[:, None] * weights, starts, axis=0)
-        change = np.abs(new - gamma).mean(axis=1)
-        gamma = np.where(active[:, None], new, gamma)
-        active &= change >= DOC_TOLERANCE
-        if not active.any():
+        theta = np.exp(digamma(g) - digamma(g.sum(axis=1))[:, None])
+        norm = (w_weights * theta[w_place]).sum(axis=1) + 1e-100
+        new = alpha + theta * np.add.reduceat((w_counts / norm)[:, None] * w_weights, w_starts, axis=0)
+        change = np.abs(new - g).mean(axis=1)
+        g = np.where(live[:, None], new, g)
+        live &= change >= DOC_TOLERANCE
+        if not live.any():
             break
+        if live.sum() * 2 < len(live):
+            gamma[ids] = g
+            rows = live[w_place]
+            renumber = np.cumsum(live) - 1
+            ids, g = ids[live], g[live]
+            w_place, w_counts, w_weights = renumber[w_place[rows]], w_counts[rows], w_weights[rows]
+            w_starts = np.flatnonzero(np.r_[True, w_place[1:] != w_place[:-1]])
+            live = np.ones(len(ids), dtype=bool)
+    gamma[ids] = g
     theta = np.exp(digamma(gamma) - digamma(gamma.sum(axis=1))[:, None])
     norm = (weights * theta[place]).sum(axis=1) + 1e-100
     return gamma, (counts / norm)[:, None] * theta[place] * weights
