@@ -350,6 +350,7 @@ WHERE token IN (SELECT token FROM vocabulary) GROUP BY id, token""",
     "topk_ip": f"WITH {neighbours(5)} {VECTOR_HITS}",
     "topk_l2": f"WITH {neighbours(5, 'L2')} {VECTOR_HITS}",
     "topk_blocked": f"WITH {neighbours(5)} {VECTOR_HITS}",
+    "topk_bounded": f"WITH {neighbours(5)} {VECTOR_HITS}",
     "ivf_full_probe": f"WITH {neighbours(5)} {VECTOR_HITS}",
     "ivf_exact": f"WITH {neighbours(5)} {VECTOR_HITS}",
     "l2_normalized": f"""

@@ -242,6 +242,12 @@ def topk_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(search.search(*_both(spark, sf_dir), k=5, metric="L2"))
 
 
+@query
+def topk_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact top 5, passage tasks emitting only hits above each query's bound from a probe."""
+    return _hits(search.search_bounded(*_both(spark, sf_dir), k=5))
+
+
 @query
 def topk_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(search.search_blocks(*_both(spark, sf_dir), k=5))
