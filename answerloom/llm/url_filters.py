@@ -138,13 +138,16 @@ def filter_urls(
     winners = candidates.filter(fits).groupBy("__url_text").agg(
         F.max_by(F.struct("place", "pattern", "verdict"), strength).alias("__url_won")
     )
-    judged = pages.join(winners.withColumnRenamed("__url_text", "__url_known"), F.col(url) == F.col("__url_known"), "left")
-    kept = [F.col(c) for c in pages.columns if c.lower() not in RESULTS]
+    # Columns are taken from their own frame, so that input columns of any name do not clash.
+    won = winners.withColumnRenamed("__url_text", "__url_known")
+    judged = pages.join(won, pages[url] == won["__url_known"], "left")
+    kept = [pages[c] for c in pages.columns if c.lower() not in RESULTS]
+    best = won["__url_won"]
     return judged.select(
         *kept,
-        host_of(F.col(url)).alias("host"),
-        path_of(F.col(url)).alias("path"),
-        F.col("__url_won.place").alias("rule"),
-        F.col("__url_won.pattern").alias("rule_pattern"),
-        F.coalesce(F.col("__url_won.verdict"), F.lit(default)).alias("verdict"),
+        host_of(pages[url]).alias("host"),
+        path_of(pages[url]).alias("path"),
+        best["place"].alias("rule"),
+        best["pattern"].alias("rule_pattern"),
+        F.coalesce(best["verdict"], F.lit(default)).alias("verdict"),
     )

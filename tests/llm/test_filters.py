@@ -57,6 +57,17 @@ def test_url_verdicts(spark):
     assert url_filters.filter_urls(pages.limit(0), URL_RULES).count() == 0
 
 
+def test_url_columns_of_any_name(spark):
+    """Input columns named like the operator's inner columns are kept and change nothing."""
+    urls = ["http://a.net/x", "http://example.org/fr/q", None, "http://a.com/login"]
+    schema = "page_id long, url string, __url_won string, __url_known string, __url_text string, count long"
+    pages = spark.createDataFrame([(i, u, "w", "k", "t", 7) for i, u in enumerate(urls)], schema)
+    got = url_filters.filter_urls(pages, URL_RULES)
+    assert {"__url_won", "__url_known", "__url_text", "count"} <= set(got.columns)
+    told = sorted([(r.page_id, r.host, r.path, r.rule, r.verdict) for r in got.collect()], key=repr)
+    assert told == sorted([(i, *brute_verdict(u)) for i, u in enumerate(urls)], key=repr)
+
+
 def test_rules_are_filed_under_their_rarest_token(spark):
     table = url_filters.rule_table(spark, URL_RULES)
     seen = spark.createDataFrame([("example", 9), ("net", 5), ("en", 7), ("com", 4), ("de", 4), ("org", 1), ("fr", 3)], "token string, seen long")
