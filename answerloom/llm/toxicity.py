@@ -26,9 +26,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..shared import temporary_steps, write_through
 
@@ -116,6 +117,20 @@ def training_rows(documents: DataFrame, labels: DataFrame, text: str, id_column:
     return stored, {y: (totals.get(y, 0), sampled.get(y, 0)) for y in (0, 1)}
 
 
+def sparse_vectors(size: int, ends: np.ndarray, places: np.ndarray, values: np.ndarray) -> pa.StructArray:
+    """MLlib's sparse vectors in Arrow: vector i holds the entries from ``ends[i]`` to ``ends[i + 1]``."""
+    n = len(ends) - 1
+    return pa.StructArray.from_arrays(
+        [
+            pa.array(np.zeros(n, np.int8)),
+            pa.array(np.full(n, size, np.int32)),
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(places, pa.int32())),
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.float64())),
+        ],
+        names=["type", "size", "indices", "values"],
+    )
+
+
 def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((2, 1 << BUCKET_BITS), np.int64)
     for batch in batches:
@@ -152,21 +167,22 @@ def _fitted(documents: DataFrame, labels: DataFrame, text: str, id_column: str,
     place = np.full(1 << BUCKET_BITS, -1, np.int32)
     place[bucket] = np.arange(len(bucket), dtype=np.int32)
 
+    size = len(bucket)
+
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for first, part in runs(texts):
+            texts = batch.column("text")
+            for first, part in runs(texts.to_pylist()):
                 doc, found = distinct_buckets(part)
-                at = np.searchsorted(doc, np.arange(len(part) + 1))
-                own = [place[found[a:b]] for a, b in zip(at, at[1:])]  # in order, as buckets are
+                ends = np.searchsorted(doc, np.arange(len(part) + 1)).astype(np.int32)
+                known = place[found]  # in order within a text, as buckets are
                 label = batch.column("y").slice(first, len(part)).cast(pa.float64())
-                yield pa.RecordBatch.from_arrays([label, pa.array(own, pa.list_(pa.int32()))], names=["label", "at"])
+                yield pa.RecordBatch.from_arrays([label, sparse_vectors(size, ends, known, ratio[known])], names=["label", "features"])
 
-    rows = sample.coalesce(FIT_TASKS).mapInArrow(features, "label double, at array<int>")
-    size = len(bucket)
-    vector = F.udf(lambda at: SparseVector(size, at, ratio[at] if at else []), VectorUDT())
+    # The task that cuts the texts also lays out the vectors: no second worker, no object an entry.
+    rows = sample.coalesce(FIT_TASKS).mapInArrow(features, T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT())]))
     learner = LogisticRegression(maxIter=STEPS, regParam=REGULARISATION, standardization=False)
-    model = learner.fit(rows.select("label", vector("at").alias("features")))
+    model = learner.fit(rows)
     shift = math.log(all1 / all0) - math.log(n1 / n0)
     weights = np.zeros(1 << BUCKET_BITS)
     weights[bucket] = model.coefficients.toArray() * ratio
