@@ -145,6 +145,16 @@ def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_pydict({"bucket": part, "n0": counts[0][part], "n1": counts[1][part]})
 
 
+def _ratios(sample: DataFrame, n0: int, n1: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets that occur in the sample, in order, and the log ratio of each. The counts are let go here."""
+    counted = sample.mapInArrow(_bucket_counts, "bucket long, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    seen = counted.toArrow()  # one row a bucket at most
+    bucket, k0, k1 = (seen[c].to_numpy() for c in ("bucket", "n0", "n1"))
+    order = np.argsort(bucket)
+    bucket, k0, k1 = bucket[order].astype(np.int32), k0[order], k1[order]
+    return bucket, np.log((k1 + SMOOTHING) / (n1 + 2 * SMOOTHING)) - np.log((k0 + SMOOTHING) / (n0 + 2 * SMOOTHING))
+
+
 def fit(documents: DataFrame, labels: DataFrame, text: str = "text", id_column: str = "doc_id", label: str = "toxic") -> ToxicityModel:
     """The classifier for ``label`` = 1, from the rows of ``labels`` (id, label) that have a text."""
     with temporary_steps(documents.sparkSession):
@@ -156,14 +166,9 @@ def _fitted(documents: DataFrame, labels: DataFrame, text: str, id_column: str,
     (all0, n0), (all1, n1) = classes[0], classes[1]
     if not n0 or not n1:
         return ToxicityModel(intercept=math.inf if n1 else -math.inf)
-    counted = sample.mapInArrow(_bucket_counts, "bucket long, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    seen = counted.toArrow()  # one row a bucket at most
-    bucket, k0, k1 = (seen[c].to_numpy() for c in ("bucket", "n0", "n1"))
+    bucket, ratio = _ratios(sample, n0, n1)
     if not len(bucket):
         return ToxicityModel(intercept=math.log(all1 / all0))
-    order = np.argsort(bucket)
-    bucket, k0, k1 = bucket[order], k0[order], k1[order]
-    ratio = np.log((k1 + SMOOTHING) / (n1 + 2 * SMOOTHING)) - np.log((k0 + SMOOTHING) / (n0 + 2 * SMOOTHING))
     place = np.full(1 << BUCKET_BITS, -1, np.int32)
     place[bucket] = np.arange(len(bucket), dtype=np.int32)
 
