@@ -1,13 +1,14 @@
 """Topic model by batch variational Bayes, with the topic-word table as a stored table by word.
 
 Words are numbered by their place in the sorted vocabulary, from per-partition counts; a
-document becomes rows (doc, word, n) by grouped counting. The topic-word table holds one row a
-word: the K variational parameters of its topic weights. Each pass joins the counts to the
-table by word, updates the topic parameters of the documents of a task (numpy, rows sorted
-by document, each document until its parameters change less than ``DOC_TOLERANCE``), and sends
-back, for each word a document holds, what it
-adds to the word's weights; summed by word, these are the next table, written to the shared
-folder partitioned by word. The driver holds K totals a pass, never words or vectors.
+document becomes a list of words and counts, and documents are dealt to blocks of about
+``BLOCK_ROWS`` pairs, stored once. The topic-word table holds one row a word: the K variational
+parameters of its topic weights. Each pass sends a word's row once to each block that holds the
+word, updates the topic parameters of the block's documents (numpy, documents of like length
+together, each document until its parameters change less than ``DOC_TOLERANCE``), and sends
+back what the block adds to each word's weights; summed by word, these are the next table,
+written to the shared folder partitioned by word. The driver holds K totals a pass, never words
+or vectors.
 
 Defined cases: documents without a vocabulary word have no topic and share 0. Words are ordered
 bytewise; ties in topic weight go to the smaller word. An empty corpus gives no topics.
@@ -15,10 +16,12 @@ bytewise; ties in topic weight go to the smaller word. An empty corpus gives no
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +31,10 @@ from .numbering import number_rows
 DOC_TOLERANCE = 1e-4  # mean change of a document's topic parameters at which its update stops
 DOC_STEPS = 10_000  # guard against a document whose update never settles; not reached in practice
 TABLE_PARTS_ROWS = 50_000  # words a partition of the stored table
+BLOCK_ROWS = 1_000_000  # (document, word) pairs a block, about
+SMALL_ROWS = 20_000  # pairs that are worth a block of their own while there are few
+STEP_ROWS = 200_000  # pairs that step at once, and of them
+GROUP_ROWS = 20_000  # pairs of documents of like length, as one stack
 
 
 @dataclass(frozen=True)
@@ -49,54 +56,82 @@ class Settings:
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
-    """Digamma by recurrence up to 6 and the asymptotic series."""
-    x = np.array(x, dtype=np.float64)
-    out = np.zeros_like(x)
-    small = x < 6.0
-    while small.any():
-        out[small] -= 1.0 / x[small]
-        x[small] += 1.0
-        small = x < 6.0
+    """Digamma by six steps of the recurrence and the asymptotic series."""
+    x = np.asarray(x, dtype=np.float64)
+    out = -1.0 / x
+    for i in range(1, 6):
+        out -= 1.0 / (x + i)
+    x = x + 6.0
     f = 1.0 / (x * x)
     series = f * (1 / 12 - f * (1 / 120 - f * (1 / 252 - f * (1 / 240 - f / 132))))
     return out + np.log(x) - 0.5 / x - series
 
 
+def _alike(lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of documents in groups of like length, each of bounded size in all."""
+    order = np.argsort(lengths, kind="stable")
+    first = 0
+    while first < len(order):
+        least = int(lengths[order[first]])
+        end = int(np.searchsorted(lengths[order], least + least // 4 + 4, side="right"))
+        end = min(end, first + max(1, GROUP_ROWS // least))
+        yield order[first:end]
+        first = end
+
+
 def update_documents(place: np.ndarray, counts: np.ndarray, weights: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
     """Topic parameters of documents and what each adds to its words' weights.
 
     Rows are (document, word) pairs sorted by document; ``place`` is the document's number
     (0, 1, ...) of each row and ``weights`` holds exp(E[log beta]) of the row's word. Each
     document steps until its parameters change by less than ``DOC_TOLERANCE`` on average,
-    then keeps them while the others go on; the rows of settled documents are dropped from
-    the work once they are half of it.
+    then keeps them while the others go on. Documents of like length step together as one
+    stack of matrices, the shorter ones filled up with words of count 0.
     """
     starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    lengths = np.diff(np.r_[starts, len(place)])
     gamma = np.ones((len(starts), weights.shape[1]))
-    ids = np.arange(len(starts))  # documents in the work
-    g, w_place, w_counts, w_weights, w_starts = gamma.copy(), place, counts, weights, starts
-    live = np.ones(len(ids), dtype=bool)
+    add = np.empty((len(place), weights.shape[1]))
+    for group in _alike(lengths):
+        at = np.arange(lengths[group].max())
+        held = at < lengths[group, None]
+        rows = np.where(held, starts[group, None] + at, starts[group, None])
+        stack, n = weights[rows], np.where(held, counts[rows], 0.0)
+        gamma[group] = _settle(n, stack, alpha)
+        theta = _shares(gamma[group])
+        found = (n / _norms(stack, theta))[:, :, None] * theta[:, None, :] * stack
+        add[rows[held]] = found[held]
+    return gamma, add
+
+
+def _shares(gamma: np.ndarray) -> np.ndarray:
+    return np.exp(digamma(gamma) - digamma(gamma.sum(axis=1))[:, None])
+
+
+def _norms(stack: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    return np.matmul(stack, theta[:, :, None])[:, :, 0] + 1e-100
+
+
+def _settle(n: np.ndarray, stack: np.ndarray, alpha: float) -> np.ndarray:
+    """Topic parameters of a stack of documents (document, word, topic); settled documents leave
+    the work once they are a quarter of it."""
+    gamma = np.ones((len(n), stack.shape[2]))
+    ids, g = np.arange(len(n)), gamma.copy()  # documents in the work
+    live = np.ones(len(n), dtype=bool)
     for _ in range(DOC_STEPS):
-        theta = np.exp(digamma(g) - digamma(g.sum(axis=1))[:, None])
-        norm = (w_weights * theta[w_place]).sum(axis=1) + 1e-100
-        new = alpha + theta * np.add.reduceat((w_counts / norm)[:, None] * w_weights, w_starts, axis=0)
+        theta = _shares(g)
+        new = alpha + theta * np.matmul((n / _norms(stack, theta))[:, None, :], stack)[:, 0, :]
         change = np.abs(new - g).mean(axis=1)
         g = np.where(live[:, None], new, g)
         live &= change >= DOC_TOLERANCE
-        if not live.any():
-            break
-        if live.sum() * 2 < len(live):
+        if live.sum() * 4 <= len(live) * 3:
             gamma[ids] = g
-            rows = live[w_place]
-            renumber = np.cumsum(live) - 1
-            ids, g = ids[live], g[live]
-            w_place, w_counts, w_weights = renumber[w_place[rows]], w_counts[rows], w_weights[rows]
-            w_starts = np.flatnonzero(np.r_[True, w_place[1:] != w_place[:-1]])
+            if not live.any():
+                break
+            ids, g, n, stack = ids[live], g[live], n[live], stack[live]
             live = np.ones(len(ids), dtype=bool)
     gamma[ids] = g
-    theta = np.exp(digamma(gamma) - digamma(gamma.sum(axis=1))[:, None])
-    norm = (weights * theta[place]).sum(axis=1) + 1e-100
-    return gamma, (counts / norm)[:, None] * theta[place] * weights
+    return gamma
 
 
 def update_document(counts: np.ndarray, weights: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
@@ -138,75 +173,97 @@ def _totals(table: DataFrame, topics: int) -> np.ndarray:
     return np.array([row[k] or 0.0 for k in range(topics)])
 
 
+def _flat(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).flatten().to_numpy()
+
+
 def _lists(rows: np.ndarray) -> pa.ListArray:
     width = rows.shape[1] if rows.ndim == 2 else 0
     offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * width)
     return pa.ListArray.from_arrays(offsets, pa.array(rows.ravel(), pa.float64()))
 
 
-def e_step(counts: DataFrame, table: DataFrame, totals: np.ndarray, settings: Settings, gammas: bool = False) -> DataFrame:
+def lay_out(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The counts for the passes, stored: documents ``(block, doc, words, ns)``, and the words
+    ``(block, word)`` that each block of documents holds, each once.
+
+    Rows without a document stand alone.
+    """
+    rows = counts.count()
+    tasks = 3 * counts.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, -(-rows // BLOCK_ROWS), min(tasks, rows // SMALL_ROWS))
+    alone = F.when(F.col("doc").isNull(), F.col("word"))
+    block = F.pmod(F.xxhash64("doc", "alone"), F.lit(blocks)).cast("int").alias("block")
+    bags = counts.withColumn("alone", alone).groupBy("doc", "alone").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("bag"))
+    documents = write_through(bags.select(block, "doc", F.col("bag.word").alias("words"), F.col("bag.n").alias("ns")), "topic-documents")
+    held = documents.select("block", F.explode("words").alias("word")).distinct()
+    return documents, write_through(held, "topic-held")
+
+
+def e_step(documents: DataFrame, held: DataFrame, table: DataFrame, totals: np.ndarray, settings: Settings, gammas: bool = False) -> DataFrame:
     """One pass over all documents: (word, add) rows, or (doc, gamma) rows with ``gammas``.
 
-    The counts meet the table by word; then each document's rows come together in one task,
-    sorted, and the documents of an Arrow batch step together. A document that runs over the
-    end of a batch waits for the next one.
+    The weights of a word go once to each block of documents that holds it, not once to each
+    document, and what the block adds to the word is summed there.
     """
     alpha, topics = settings.doc_prior, settings.topics
-    joined = counts.join(table, "word").repartition("doc").sortWithinPartitions("doc")
-
-    def update(rows: pa.Table) -> pa.RecordBatch:
-        docs = rows.column("doc").to_numpy()
-        place = np.cumsum(np.r_[0, docs[1:] != docs[:-1]])
-        lam = rows.column("lam").combine_chunks().flatten().to_numpy().reshape(-1, topics)
-        gamma, add = update_documents(place, rows.column("n").to_numpy(), expected_weights(lam, totals), alpha)
+    sent = held.join(table, "word").select("block", "word", "lam")
+
+    def update(docs: pa.Table, words: pa.Table) -> pa.Table:
+        number = words.column("word").to_numpy()
+        order = np.argsort(number)
+        number = number[order]
+        weights = expected_weights(_flat(words.column("lam")).reshape(-1, topics)[order], totals)
+        lists = docs.column("words").combine_chunks()
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        at, n = np.searchsorted(number, _flat(lists)), _flat(docs.column("ns"))
+        added, found = np.zeros_like(weights), []
+        first = 0
+        while first < len(ends):  # some documents at once, so that what is held beside the block is bounded
+            start = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, start + STEP_ROWS, side="right")))
+            part = slice(start, ends[last - 1])
+            place = np.repeat(np.arange(last - first), np.diff(np.r_[start, ends[first:last]]))
+            gamma, add = update_documents(place, n[part], weights[at[part]], alpha)
+            if gammas:
+                found.append(gamma)
+            else:
+                for k in range(topics):
+                    added[:, k] += np.bincount(at[part], add[:, k], len(number))
+            first = last
         if gammas:
-            firsts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
-            return pa.RecordBatch.from_arrays([pa.array(docs[firsts]), _lists(gamma)], names=["doc", "gamma"])
-        return pa.RecordBatch.from_arrays([rows.column("word").combine_chunks(), _lists(add)], names=["word", "add"])
-
-    def run(batches):
-        waiting = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            if waiting is not None:
-                rows = pa.concat_tables([waiting, rows])
-            if rows.num_rows == 0:
-                continue
-            docs = rows.column("doc").to_numpy()
-            cut = int(np.searchsorted(docs, docs[-1]))  # the last document may go on in the next batch
-            waiting = rows.slice(cut)
-            if cut:
-                yield update(rows.slice(0, cut))
-        if waiting is not None and waiting.num_rows:
-            yield update(waiting)
-
-    schema = "doc long, gamma array<double>" if gammas else "word long, add array<double>"
-    return joined.select("doc", "word", "n", "lam").mapInArrow(run, schema)
+            gamma = np.concatenate(found) if found else np.zeros((0, topics))
+            return pa.Table.from_arrays([docs.column("doc"), _lists(gamma)], names=["doc", "gamma"])
+        return pa.Table.from_arrays([pa.array(number), _lists(added)], names=["word", "add"])
+
+    schema = f"doc {documents.schema['doc'].dataType.simpleString()}, gamma array<double>" if gammas else "word long, add array<double>"
+    return documents.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(update, schema)
 
 
 @dataclass
 class Model:
     table: DataFrame  # (word, lam), stored by word
-    counts: DataFrame  # (doc, word, n), stored
+    documents: DataFrame  # (block, doc, words, ns), stored
+    held: DataFrame  # (block, word), stored
     totals: np.ndarray  # sum of lam over words, a topic
     history: list[float]  # sum of all lam after each pass
     settings: Settings
 
     def gammas(self) -> DataFrame:
         """(doc, gamma) of every document with a vocabulary word."""
-        return e_step(self.counts, self.table, self.totals, self.settings, gammas=True)
+        return e_step(self.documents, self.held, self.table, self.totals, self.settings, gammas=True)
 
 
 def fit(counts: DataFrame, words: DataFrame, settings: Settings = Settings()) -> Model:
     """The topic-word table after the passes, stored, with what the passes left."""
-    counts = write_through(counts, "topic-counts")
+    documents, held = lay_out(write_through(counts, "topic-counts"))
     n_words = words.count()
     table = _store(initial_table(words, settings), n_words)
     totals = _totals(table, settings.topics)
     history = [float(totals.sum())]
     eta = settings.word_prior
     for _ in range(settings.passes):
-        adds = e_step(counts, table, totals, settings)
+        adds = e_step(documents, held, table, totals, settings)
         summed = adds.groupBy("word").agg(*[F.sum(F.col("add")[k]).alias(f"s{k}") for k in range(settings.topics)])
         fresh = words.select("word").join(summed, "word", "left").select(
             "word", F.array(*[F.lit(eta) + F.coalesce(F.col(f"s{k}"), F.lit(0.0)) for k in range(settings.topics)]).alias("lam")
@@ -218,7 +275,7 @@ def fit(counts: DataFrame, words: DataFrame, settings: Settings = Settings()) ->
         history.append(float(totals.sum()))
         if change < settings.tolerance:
             break
-    return Model(table, counts, totals, history, settings)
+    return Model(table, documents, held, totals, history, settings)
 
 
 def topic_words(table: DataFrame, words: DataFrame, topics: int, top: int) -> DataFrame:

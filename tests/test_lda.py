@@ -53,6 +53,23 @@ def test_fit_equals_numpy(spark):
     assert sorted(r.token for r in words.collect()) == [r.token for r in words.orderBy("word").collect()]
 
 
+def test_a_pass_moves_a_word_once_a_block(spark):
+    counts = spark.range(400).selectExpr("id % 100 AS doc", "id % 20 AS word", "1.0D AS n").distinct()
+    words = spark.range(20).withColumnRenamed("id", "word")
+    settings = lda.Settings(topics=2)
+    documents, held = lda.lay_out(counts)
+    table = lda.initial_table(words, settings)
+    adds = lda.e_step(documents, held, table, lda._totals(table, 2), settings).collect()
+    assert documents.count() == 100 and held.count() == len(adds) == 20  # one block of 100 documents
+    assert sum(sum(r.add) for r in adds) == pytest.approx(counts.count())
+
+
+def test_rows_without_document_stand_alone(spark):
+    counts = spark.createDataFrame([(None, 0, 2.0), (None, 1, 1.0), (5, 0, 1.0), (5, 1, 1.0)], "doc long, word long, n double")
+    documents, _ = lda.lay_out(counts)
+    assert sorted((r.doc or 0, r.words) for r in documents.collect()) == [(0, [0]), (0, [1]), (5, [0, 1])]
+
+
 def test_topics_separate(spark):
     described, leads = plans.topic_report(small_corpus(spark).withColumnRenamed("passage", "passage"), topics=2, passes=20)
     lead = {r.id: r.topic for r in leads.collect()}
