@@ -103,6 +103,20 @@ def test_empty(spark):
     assert run(spark, []) == []
 
 
+def test_few_rows_lead_to_the_root(spark):
+    """A leaf climbs a block of 16 nodes a step: 7 blocks and one above them, not a row a node."""
+    base = spark.range(100).selectExpr("0L AS grp", "id AS pos", "unhex(sha2(string(id), 256)) AS hash", "100L AS n")
+    blocks, tops = merkle._levels(base, 0)
+    assert sorted((r.level, r.block) for r in blocks.collect()) == [(0, i) for i in range(7)] + [(4, 0)]
+    top = tops.collect()
+    assert [(r.level, r.hash.hex()) for r in top] == [(7, tree([h(str(i)) for i in range(100)])[-1][0])]
+
+
+def test_large_group_equals_plain_tree(spark):
+    rows = [(i, "s", "en" if i % 50 else "de", i, f"text {i}") for i in range(1, 306)]
+    assert run(spark, rows) == brute(rows, tamper)
+
+
 def test_tampered_rows_fail(spark):
     rows = CASES["odd"]
     for doc_id, *_, verified in run(spark, rows):
