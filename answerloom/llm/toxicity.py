@@ -3,12 +3,14 @@
 A text is its set of lower-cased n-grams, hashed to buckets. From labelled texts come the
 smoothed log ratios of how often each bucket occurs in toxic and in other texts. A logistic
 regression on all buckets of these texts, each scaled by its ratio, gives the weights; smoothing
-and regularisation damp the rare ones. A score is the logistic of the sum of weights of a text's
-buckets.
+and regularisation damp the rare ones. Smoothing is dealt to the classes by their shares, so that
+a bucket seen once tells little whatever the shares. The vectors of all texts have one length, so
+that a long text, with its many buckets of small ratios, outweighs no short one. A score is the
+logistic of the sum of weights of a text's buckets, at that length.
 
 Fitting takes at most ``TRAIN_ROWS`` labelled texts a class, those with the smallest hash of
 their id; the class shares of all labelled rows set the intercept. Scoring takes whole texts
-where they are, without a shuffle, and needs only the table of weights, 8 MB whatever the data.
+where they are, without a shuffle, and needs only the tables of weights and ratios, 12 MB whatever the data.
 
 Defined cases: null text is empty text, whose score comes from the intercept. A null label is
 no label; if an id has several labels the largest counts. With labels of one class only every
@@ -37,7 +39,8 @@ SIZES = (3, 4, 5)
 BUCKET_BITS = 20
 TRAIN_ROWS = 10_000  # labelled texts of each class, at most
 FIT_TASKS = 4  # of the bounded fit; MLlib sums gradients of so few tasks without a shuffle
-SMOOTHING = 1.0
+SMOOTHING = 10.0  # texts that hold a bucket in advance, dealt to the classes by their shares
+LENGTH = 10.0  # of each text's vector
 REGULARISATION = 1e-3
 STEPS = 40
 THRESHOLD = 0.3
@@ -87,19 +90,34 @@ def distinct_buckets(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return (key >> BUCKET_BITS).astype(np.int64), (key & ((1 << BUCKET_BITS) - 1)).astype(np.int64)
 
 
+def stretch(doc: np.ndarray, values: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """What brings the vector of each text to ``LENGTH``, and the share of it that is reached:
+    near 1, but less where a text holds next to nothing that tells the classes apart."""
+    squares = np.bincount(doc, np.square(values, dtype=np.float64), texts)
+    factor = LENGTH / np.sqrt(squares + 1.0)
+    return factor, factor * np.sqrt(squares) / LENGTH
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(1 << BUCKET_BITS))  # of each bucket
+    ratios: np.ndarray = field(default_factory=lambda: np.zeros(1 << BUCKET_BITS, np.float32))  # that its vectors hold
     intercept: float = -math.inf  # of texts without a weighted bucket; infinite if labels do not tell
+    offset: float = 0.0  # of texts whose vector has the full length
 
     def scores(self, texts: Sequence[str]) -> np.ndarray:
         if math.isinf(self.intercept):
             return np.full(len(texts), float(self.intercept > 0))
+        return 1.0 / (1.0 + np.exp(-np.clip(self.sums(texts), -700, 700)))
+
+    def sums(self, texts: Sequence[str]) -> np.ndarray:
+        """Of each text the intercept and the weights of its buckets, at the length of all vectors."""
         total = np.full(len(texts), self.intercept)
         for first, part in runs(texts):
             doc, bucket = distinct_buckets(part)
-            total[first : first + len(part)] += np.bincount(doc, self.weights[bucket], len(part))
-        return 1.0 / (1.0 + np.exp(-np.clip(total, -700, 700)))
+            factor, share = stretch(doc, self.ratios[bucket], len(part))
+            total[first : first + len(part)] += np.bincount(doc, self.weights[bucket], len(part)) * factor + self.offset * share
+        return total
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, text: str, id_column: str, label: str) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
@@ -145,14 +163,16 @@ def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_pydict({"bucket": part, "n0": counts[0][part], "n1": counts[1][part]})
 
 
-def _ratios(sample: DataFrame, n0: int, n1: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets that occur in the sample, in order, and the log ratio of each. The counts are let go here."""
+def _ratios(sample: DataFrame, n0: int, n1: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets that occur in the sample, in order, the log ratio of each and whether several texts
+    hold it. The counts are let go here."""
     counted = sample.mapInArrow(_bucket_counts, "bucket long, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     seen = counted.toArrow()  # one row a bucket at most
     bucket, k0, k1 = (seen[c].to_numpy() for c in ("bucket", "n0", "n1"))
     order = np.argsort(bucket)
     bucket, k0, k1 = bucket[order].astype(np.int32), k0[order], k1[order]
-    return bucket, np.log((k1 + SMOOTHING) / (n1 + 2 * SMOOTHING)) - np.log((k0 + SMOOTHING) / (n0 + 2 * SMOOTHING))
+    per_text = SMOOTHING / (n0 + n1)
+    return bucket, (np.log(k1 / n1 + per_text) - np.log(k0 / n0 + per_text)).astype(np.float32), k0 + k1 > 1
 
 
 def fit(documents: DataFrame, labels: DataFrame, text: str = "text", id_column: str = "doc_id", label: str = "toxic") -> ToxicityModel:
@@ -166,7 +186,7 @@ def _fitted(documents: DataFrame, labels: DataFrame, text: str, id_column: str,
     (all0, n0), (all1, n1) = classes[0], classes[1]
     if not n0 or not n1:
         return ToxicityModel(intercept=math.inf if n1 else -math.inf)
-    bucket, ratio = _ratios(sample, n0, n1)
+    bucket, ratio, shared = _ratios(sample, n0, n1)
     if not len(bucket):
         return ToxicityModel(intercept=math.log(all1 / all0))
     place = np.full(1 << BUCKET_BITS, -1, np.int32)
@@ -181,17 +201,41 @@ def _fitted(documents: DataFrame, labels: DataFrame, text: str, id_column: str,
                 doc, found = distinct_buckets(part)
                 ends = np.searchsorted(doc, np.arange(len(part) + 1)).astype(np.int32)
                 known = place[found]  # in order within a text, as buckets are
+                values = ratio[known] * stretch(doc, ratio[known], len(part))[0][doc]
                 label = batch.column("y").slice(first, len(part)).cast(pa.float64())
-                yield pa.RecordBatch.from_arrays([label, sparse_vectors(size, ends, known, ratio[known])], names=["label", "features"])
+                yield pa.RecordBatch.from_arrays([label, sparse_vectors(size, ends, known, values)], names=["label", "features"])
 
     # The task that cuts the texts also lays out the vectors: no second worker, no object an entry.
     rows = sample.coalesce(FIT_TASKS).mapInArrow(features, T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT())]))
     learner = LogisticRegression(maxIter=STEPS, regParam=REGULARISATION, standardization=False)
     model = learner.fit(rows)
-    shift = math.log(all1 / all0) - math.log(n1 / n0)
-    weights = np.zeros(1 << BUCKET_BITS)
-    weights[bucket] = model.coefficients.toArray() * ratio
-    return ToxicityModel(weights, model.intercept + shift)
+    weights, ratios = np.zeros(1 << BUCKET_BITS), np.zeros(1 << BUCKET_BITS, np.float32)
+    weights[bucket], ratios[bucket] = model.coefficients.toArray() * ratio, ratio
+    alone = bucket[~shared]
+    return _calibrated(sample, ToxicityModel(weights, ratios, 0.0), alone, math.log(all1 / all0), math.log(n1 / n0))
+
+
+def _calibrated(sample: DataFrame, model: ToxicityModel, alone: np.ndarray, odds: float, sampled_odds: float) -> ToxicityModel:
+    """The model with its sums stretched and moved to tell the chances of the sample's texts.
+
+    The steps of the fit end while weights are still short, so that its sums rank texts well but
+    stay near the share of toxic ones. The buckets that only one text of the sample holds
+    (``alone``) are left out here, as a text not fitted has none of them. Texts that tell nothing get the log odds of all labels.
+    """
+
+    plain = ToxicityModel(model.weights.copy(), model.ratios.copy(), model.intercept)
+    plain.weights[alone] = plain.ratios[alone] = 0
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = plain.sums(batch.column("text").to_pylist())
+            ends = np.arange(len(total) + 1, dtype=np.int32)
+            vectors = sparse_vectors(1, ends, np.zeros(len(total), np.int32), total)
+            yield pa.RecordBatch.from_arrays([batch.column("y").cast(pa.float64()), vectors], names=["label", "features"])
+
+    rows = sample.coalesce(FIT_TASKS).mapInArrow(sums, T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT())]))
+    line = LogisticRegression(maxIter=STEPS, regParam=REGULARISATION).fit(rows)
+    return ToxicityModel(model.weights * line.coefficients[0], model.ratios, odds, line.intercept - sampled_odds)
 
 
 def score(documents: DataFrame, model: ToxicityModel, text: str = "text", out: str = "score") -> DataFrame:

@@ -217,6 +217,20 @@ def test_toxicity(spark):
     assert left.columns == frame(spark, []).columns and {r.doc_id for r in left.collect()} == {i for i, p in by_id.items() if not p}
 
 
+def test_long_texts_outweigh_no_short_ones(spark):
+    rng = random.Random(5)
+    syllables = "en th er an re on in ou ed nd ha to or ti as".split()
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4)))
+    rows = []
+    for i in range(600):
+        words = [word() for _ in range(3000 if i % 7 == 0 else rng.randrange(20, 60))]
+        words[rng.randrange(len(words))] = "blaxity" if i % 5 == 0 else word()
+        rows.append((i, " ".join(words)))
+    known = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600)], "doc_id long, toxic int")
+    got = [r for r in toxicity.toxicity_scores(frame(spark, rows), known).collect() if r.held_out and r.doc_id % 7]
+    assert sum((r.doc_id % 5 == 0) == bool(r.predicted) for r in got) / len(got) > 0.95
+
+
 def test_every_term_of_the_training_texts_has_a_weight(spark):
     """A term in 4 toxic training texts counts, and so do all buckets and not the best thousand."""
     rng = random.Random(9)
