@@ -35,3 +35,12 @@ def test_fit_needs_one_python_worker_a_task(spark, monkeypatch):
     model = toxicity.fit(docs, labels)
     assert model.scores(["vile"])[0] > 0.5 > model.scores(["kind"])[0]
     assert plans and "MapInArrow" in plans[0] and "BatchEvalPython" not in plans[0]
+
+
+def test_a_bucket_seen_once_tells_little(spark):
+    """Whatever the shares of the classes: 90 texts and 10."""
+    rows = [(0, "plain words" + (" quux" if i == 0 else "")) for i in range(90)] + [(1, "plain words vile")] * 10
+    bucket, ratio = toxicity._ratios(spark.createDataFrame(rows, "y int, text string"), 90, 10)[:2]
+    of = dict(zip(bucket.tolist(), ratio.tolist()))
+    once, often = (min(abs(of[b]) for b in toxicity.gram_buckets([t])[1]) for t in ("quux", "vile"))
+    assert once < 0.2 < 1 < often
