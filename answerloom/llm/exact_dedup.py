@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import temporary_steps, write_through
+from ..shared import small_batches, temporary_steps, write_through
 
 BUCKET_BYTES = 32 << 20
 BITS_A_LOOK = 12  # the directory asks for counts of so many bits at a time
-FLUSH_BYTES = 16 << 20
+FLUSH_BYTES = 8 << 20
 ENTRY = "key long, digest string, text binary, keep_id long, n long"
 WITH_BUCKET = "bucket int, " + ENTRY
 NO_ID = (1 << 63) - 1
@@ -146,6 +146,8 @@ def _collapse(batches: Iterator[pa.RecordBatch], starts: np.ndarray) -> Iterator
             held, size = [], 0
     if held:
         yield from told(held)
+    del held
+    pa.default_memory_pool().release_unused()
 
 
 def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,6 +172,8 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting, held, size = chained.slice(ready), [], 0
     if held or waiting is not None:
         yield from joined().to_batches()
+    del held, waiting
+    pa.default_memory_pool().release_unused()
 
 
 def build_index(documents: DataFrame, text: str, id_column: str, capacity: int = BUCKET_BYTES) -> tuple[DataFrame, DataFrame]:
@@ -200,7 +204,8 @@ def exact_groups(documents: DataFrame, text: str = "text", id_column: str = "doc
     side has one row a group, so a large group is a skewed join that Spark splits. The result
     is stored and the index dropped; use ``build_index`` to keep one.
     """
-    with temporary_steps(documents.sparkSession) as steps:
+    spark = documents.sparkSession
+    with small_batches(spark), temporary_steps(spark) as steps:
         rows, index = build_index(documents, text, id_column, capacity)
         groups = index.filter("n > 1").select("key", "digest", F.expr(f"nullif(keep_id, {NO_ID})").alias("keep_id"), "n")
         joined = rows.join(groups, ["key", "digest"], "left")

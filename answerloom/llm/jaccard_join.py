@@ -27,16 +27,15 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import temporary_steps, write_through
+from ..shared import small_batches, temporary_steps, write_through
 from .components import components
 
 ORDERS = 3  # the first by how common tokens are, the others by hashes
@@ -51,7 +50,6 @@ WORDS_KEPT = 100_000
 SIGNATURE = [f"s{i}" for i in range(8)]  # parities of hashed tokens, 512 bits
 PREFIX = "token long, parts int, salt int, cls long, row long, n int, pos int"
 ROWS_AT_ONCE = 250
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 SIGNED = "token long, parts int, row long, n int, pos int, other long, " + ", ".join(f"{c} long" for c in SIGNATURE)
 SMALL = 16  # rows of a bucket whose near pairs are all taken at once
 
@@ -103,20 +101,6 @@ def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pa.default_memory_pool().release_unused()
 
 
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Hand texts and sets to Python in batches of a few megabytes, while it is open.
-
-    Each task holds a batch several times over, in the JVM and in Python.
-    """
-    before = spark.conf.get(BATCH_SETTING)
-    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
-    try:
-        yield
-    finally:
-        spark.conf.set(BATCH_SETTING, before)
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)

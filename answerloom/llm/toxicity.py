@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..shared import temporary_steps, write_through
+from ..shared import small_batches, temporary_steps, write_through
 
 SIZES = (3, 4, 5)
 BUCKET_BITS = 20
@@ -264,6 +264,12 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, text: str = "text",
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """``documents`` without those whose score reaches the threshold, columns as they were."""
-    model = fit(documents, labels.filter(~held_out(id_column)), text, id_column)
-    return score(documents, model, text, "__toxicity").filter(F.col("__toxicity") < THRESHOLD).drop("__toxicity")
+    """``documents`` without those whose score reaches the threshold, columns as they were.
+
+    The rows are stored here, as only a step run here hands texts to Python in small batches.
+    """
+    spark = documents.sparkSession
+    with small_batches(spark), temporary_steps(spark) as steps:
+        model = fit(documents, labels.filter(~held_out(id_column)), text, id_column)
+        clean = score(documents, model, text, "__toxicity").filter(F.col("__toxicity") < THRESHOLD).drop("__toxicity")
+        return steps.keep(clean, "clean")
