@@ -46,6 +46,7 @@ SPLIT_AT = 20_000  # a token counted more often is spread over buckets of about
 ROUNDS = 2  # of nearest pairs, before the round of all that are left
 TILE = 256
 MAP_BITS = 23  # hashed marks of the classes that are in pairs: 1 MB whatever the data
+PART_STEP = 5184827  # golden section of the map: rows of different tasks share marks only once all rows outnumber it
 WORDS_KEPT = 100_000
 SIGNATURE = [f"s{i}" for i in range(8)]  # parities of hashed tokens, 512 bits
 PREFIX = "token long, parts int, salt int, cls long, row long, n int, pos int"
@@ -434,7 +435,7 @@ def candidate_pairs(
 def _marks(pairs: DataFrame) -> np.ndarray:
     """Hashed marks of the classes in ``pairs``; marks may also hit other classes."""
     every = pairs.select(F.col("a").alias("r")).unionAll(pairs.select("b")).distinct()
-    bit = F.pmod(F.col("r").bitwiseAND((1 << 40) - 1) + F.shiftright("r", 40) * 7919, F.lit(1 << MAP_BITS))
+    bit = F.pmod(F.col("r").bitwiseAND((1 << 40) - 1) + F.shiftright("r", 40) * PART_STEP, F.lit(1 << MAP_BITS))
     bits = F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("bits")
     words = every.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).alias("w")).agg(bits)
     told = words.toArrow()  # no more rows than words of the map
@@ -449,7 +450,7 @@ def _held_sets(sets: DataFrame, marks: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row = batch.column(0).to_numpy()
-            bit = ((row & (1 << 40) - 1) + (row >> 40) * 7919) % (1 << MAP_BITS)
+            bit = ((row & (1 << 40) - 1) + (row >> 40) * PART_STEP) % (1 << MAP_BITS)
             hit = marks[bit >> 5] >> (bit & 31).astype(np.uint32) & 1
             yield batch.filter(pa.array(hit.astype(bool)))
 
