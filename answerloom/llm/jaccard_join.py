@@ -13,7 +13,8 @@ component; pairs are verified, and the links join components. The last round tak
 that are left between different components, so no link is lost, and a group of like documents
 costs about its size and not the square of it. Which pairs seem near is told by signatures:
 two sets differ in at least as many tokens as their signatures in bits, so pairs that this
-rules out are no links. A token held by very many documents is spread over several buckets,
+rules out are no links. In 512 bits all large sets look alike, so these have wide ones too, in
+proportion to their size, which are compared before whole sets move. A token held by very many documents is spread over several buckets,
 dealt anew in each round; the last round takes the buckets of a token two by two.
 
 Words are runs without white space, A-Z lower-cased. A document with fewer words than n is one
@@ -49,7 +50,9 @@ MAP_BITS = 23  # hashed marks of the classes that are in pairs: 1 MB whatever th
 PART_STEP = 5184827  # golden section of the map: rows of different tasks share marks only once all rows outnumber it
 WORDS_KEPT = 100_000
 SIGNATURE = [f"s{i}" for i in range(8)]  # parities of hashed tokens, 512 bits
-PREFIX = "token long, parts int, salt int, cls long, row long, n int, pos int"
+WIDE_SHARE = 0.55  # bits a token, at least, of the wide signatures; at 80 % unlike sets of any size are told apart
+TOKEN_MASK = np.uint64((1 << 64) - (1 << 24))  # tokens under which rows meet are cut to 40 bits: some more rows meet, none less
+PREFIX = "token long, parts int, salt int, cls long, n int, pos int"
 ROWS_AT_ONCE = 250
 SIGNED = "token long, parts int, row long, n int, pos int, other long, " + ", ".join(f"{c} long" for c in SIGNATURE)
 SMALL = 16  # rows of a bucket whose near pairs are all taken at once
@@ -108,18 +111,36 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def wide_signature(tokens: np.ndarray) -> bytes | None:
+    """Parities of the tokens in as many slots as suit their number; None where the 512 of all sets do."""
+    bits = 1 << max(0, int(np.ceil(np.log2(max(1.0, WIDE_SHARE * len(tokens))))))
+    if bits <= 64 * len(SIGNATURE):
+        return None
+    at = (tokens & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(bool)).tobytes()
+
+
+def wide_distance(x: bytes, y: bytes) -> int:
+    """Bits in which two wide signatures differ, the longer one folded to the length of the other."""
+    a, b = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def token_sets(documents: DataFrame, text: str, id_column: str, size: int) -> DataFrame:
-    """(doc_id, text_key, cls, proof, n, row, grams) of each row; ``grams`` only where a task first meets a class.
+    """(doc_id, text_key, cls, proof, n, row, wide, grams) of each row; ``grams`` and ``wide`` only where a task first meets a class.
 
     ``cls`` and ``proof`` are two independent digests of the set, ``row`` numbers rows, and the
-    signature holds for each of 512 slots whether the number of tokens there is odd.
+    signature holds for each of 512 slots whether the number of tokens there is odd; ``wide``
+    is that of a large set.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(size), set()
         at = TaskContext.get().partitionId() << 40
         for batch in sliced(batches):
-            cls, proof, n, grams = [], [], [], []
+            cls, proof, n, wide, grams = [], [], [], [], []
             parity = np.zeros((batch.num_rows, 64), np.uint8)
             for content in batch.column(2).to_pylist():
                 tokens = shingler.tokens(content)
@@ -128,16 +149,18 @@ def token_sets(documents: DataFrame, text: str, id_column: str, size: int) -> Da
                 proof.append(xxhash.xxh3_64_intdigest(packed, 2))
                 parity[len(n)] = np.packbits((np.bincount((tokens & np.uint64(511)).astype(np.int64), minlength=512) & 1).astype(bool))
                 n.append(len(tokens))
-                grams.append(None if cls[-1] in seen or not len(tokens) else packed)
+                first = cls[-1] not in seen and len(tokens) > 0
+                grams.append(packed if first else None)
+                wide.append(wide_signature(tokens) if first else None)
                 seen.add(cls[-1])
             signed = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (cls, proof)]
             rows = np.arange(at, at + len(n), dtype=np.int64)
             at += len(n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *signed, pa.array(n, pa.int32()), pa.array(rows), *map(pa.array, parity.view(np.int64).T.copy()), pa.array(grams, pa.binary())], names=names
+                [batch.column(0), batch.column(1), *signed, pa.array(n, pa.int32()), pa.array(rows), *map(pa.array, parity.view(np.int64).T.copy()), pa.array(wide, pa.binary()), pa.array(grams, pa.binary())], names=names
             )
 
-    schema = "doc_id long, text_key long, cls long, proof long, n int, row long, " + "".join(f"{c} long, " for c in SIGNATURE) + "grams binary"
+    schema = "doc_id long, text_key long, cls long, proof long, n int, row long, " + "".join(f"{c} long, " for c in SIGNATURE) + "wide binary, grams binary"
     names = [c.split()[0] for c in schema.split(", ")]
     content = F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t")
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), content)
@@ -213,7 +236,7 @@ def prefix_rows(sets: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             columns: list[list[np.ndarray]] = [[] for _ in PREFIX.split(", ")]
-            for cls, row, n, packed in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for cls, n, packed in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 tokens = np.frombuffer(packed, np.uint64)
                 level = levels[slots(tokens)]
                 order = (level.astype(np.uint64) << np.uint64(56)) | (mixed(tokens) >> np.uint64(8))
@@ -221,14 +244,14 @@ def prefix_rows(sets: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
                 first = np.argsort(order, kind="stable")[:length]
                 parts = parts_of[level[first]]
                 own = np.ones(length, np.int64)
-                for column, values in zip(columns, (tokens[first].view(np.int64), parts, cls % parts, cls * own, row * own, n * own, np.arange(length))):
+                for column, values in zip(columns, ((tokens[first] & TOKEN_MASK).view(np.int64), parts, cls % parts, cls * own, n * own, np.arange(length))):
                     column.append(values)
             if columns[0]:
-                kinds = (np.int64, np.int32, np.int32, np.int64, np.int64, np.int32, np.int32)
+                kinds = (np.int64, np.int32, np.int32, np.int64, np.int32, np.int32)
                 made = [pa.array(np.concatenate(c).astype(t)) for c, t in zip(columns, kinds)]
                 yield pa.RecordBatch.from_arrays(made, names=[c.split()[0] for c in PREFIX.split(", ")])
 
-    return sets.filter("grams is not null").select("cls", "row", "n", "grams").mapInArrow(run, PREFIX)
+    return sets.filter("grams is not null").select("cls", "n", "grams").mapInArrow(run, PREFIX)
 
 
 def _whole_buckets(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -325,15 +348,13 @@ def _place_pairs(x: dict[str, np.ndarray], starts: np.ndarray, percent: int) ->
 
 
 def _shared(batches: Iterator[pa.RecordBatch], keys: list[str], percent: int) -> Iterator[pa.RecordBatch]:
-    """Each class once a bucket, and of small buckets only rows that some other row may link with by size and place."""
+    """Each class once a bucket and place, and of small buckets only rows that some other row may link with by size and place."""
     for table, _ in _whole_buckets(batches, keys):
-        cls = table["cls"].to_numpy()
         new = np.zeros(table.num_rows, bool)
-        new[_starts(table, keys)] = True
-        new[1:] |= cls[1:] != cls[:-1]
+        new[_starts(table, [*keys, "cls", "pos"])] = True
         table = table.filter(pa.array(new)).combine_chunks()
         starts = np.append(_starts(table, keys), table.num_rows)
-        x = _columns(table) | {"root": table["row"].to_numpy()}
+        x = _columns(table) | {"root": table["cls"].to_numpy()}
         a, b = _place_pairs(x, starts, percent)
         keep = _large(x, starts)
         keep[a] = keep[b] = True
@@ -346,13 +367,14 @@ def _large(x: dict[str, np.ndarray], starts: np.ndarray) -> np.ndarray:
     return np.repeat((sizes > SMALL) | (x["parts"][starts[:-1]] > 1), sizes)
 
 
-def near_buckets(sets: DataFrame, percent: int) -> DataFrame:
+def near_buckets(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """What prefix tokens bring together, stored: near pairs (``other`` is the second row, ``n`` the
     distance of their signatures), and large buckets.
 
     Rows move once with every prefix token. What sizes, places and then signatures rule out
     can give no link in any round. Small buckets give their near pairs, the rows of large
-    ones stay for the rounds.
+    ones stay for the rounds. A class is known by its digest until it gets its signature, and
+    the row (``head`` in ``classes``) that stands for it.
     """
     keys = ["token", "salt"]
 
@@ -371,13 +393,34 @@ def near_buckets(sets: DataFrame, percent: int) -> DataFrame:
 
     names = [c.split()[0] for c in SIGNED.split(", ")]
     rows = prefix_rows(sets, token_levels(sets), percent)
-    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "cls", "row")
-    signed = sets.filter("grams is not null").select("row", *SIGNATURE)
-    shared = dealt.mapInArrow(lambda batches: _shared(batches, keys, percent), PREFIX).join(signed, "row")
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "cls", "pos")
+    heads = classes.select("cls", F.col("head").alias("row"))
+    signed = sets.filter("grams is not null").select("cls", "row", *SIGNATURE).join(heads, ["cls", "row"])
+    shared = dealt.mapInArrow(lambda batches: _shared(batches, keys, percent), PREFIX).join(signed, "cls")
     again = shared.select("salt", *[c for c in names if c != "other"]).repartition(*keys).sortWithinPartitions(*keys)
     return write_through(again.mapInArrow(run, SIGNED), "buckets")
 
 
+def told_apart(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (a, b, ...) without those of two large sets that their wide signatures rule out.
+
+    These are a small share of the sets in bytes, so that few sets move that link with nothing.
+    """
+    names = pairs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            sides = zip(*(batch.column(c).to_pylist() for c in ("a_n", "b_n", "a_wide", "b_wide")))
+            left = [None in (x, y) or (100 + percent) * wide_distance(x, y) <= (100 - percent) * (n + m) for n, m, x, y in sides]
+            yield batch.select(names).filter(pa.array(left, pa.bool_()))
+
+    wide = sets.filter("wide is not null")
+    for c in ("a", "b"):
+        own = wide.select(F.col("row").alias(c), F.col("n").alias(f"{c}_n"), F.col("wide").alias(f"{c}_wide"))
+        pairs = pairs.join(own, c, "left")
+    return pairs.mapInArrow(run, ", ".join(f"{c} {dict(pairs.dtypes)[c]}" for c in names))
+
+
 def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     known = roots.select(F.col("node").alias("row"), "root")
     return rows.join(known, "row", "left").withColumn("root", F.coalesce("root", "row"))
@@ -396,7 +439,7 @@ def open_pairs(near: DataFrame, roots: DataFrame, every: bool) -> DataFrame:
 
 
 def candidate_pairs(
-    near: DataFrame, buckets: DataFrame, roots: DataFrame, tried: DataFrame | None, percent: int, turn: int, every: bool
+    near: DataFrame, buckets: DataFrame, sets: DataFrame, roots: DataFrame, tried: DataFrame | None, percent: int, turn: int, every: bool
 ) -> DataFrame:
     """Pairs (a, b) of rows to verify in a round, stored, without those already ``tried``.
 
@@ -424,7 +467,7 @@ def candidate_pairs(
         placed = placed.withColumn("side", F.col("salt"))
     columns = [*keys, "row", "n", "pos", "root", *SIGNATURE]
     dealt = placed.select(*columns).repartition(*keys).sortWithinPartitions(*keys)
-    pairs = dealt.mapInArrow(run, "a long, b long")
+    pairs = told_apart(dealt.mapInArrow(run, "a long, b long").distinct(), sets, percent).select("a", "b")
     pairs = pairs.unionAll(open_pairs(near, roots, every)).distinct()
     return write_through(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
 
@@ -510,14 +553,14 @@ def similar_groups(
         classes = write_through(classes, "classes")
         if classes.filter("clash").limit(1).count():
             raise ArithmeticError("two different sets have one 64-bit digest; use another seed")
-        buckets = near_buckets(sets, percent)
+        buckets = near_buckets(sets, classes, percent)
         near = buckets.filter("other is not null").select(F.col("row").alias("a"), F.col("other").alias("b"), F.col("n").alias("apart"))
-        near = write_through(near.distinct(), "near")
+        near = write_through(told_apart(near.distinct(), sets, percent), "near")
         roots = spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("root"))
         links = None
         tried = None
         for turn in range(ROUNDS + 1):
-            pairs = candidate_pairs(near, buckets, roots, tried, percent, turn, turn == ROUNDS)
+            pairs = candidate_pairs(near, buckets, sets, roots, tried, percent, turn, turn == ROUNDS)
             tried = pairs if tried is None else tried.unionAll(pairs)
             found = verified(pairs, sets, percent, orders)
             links = found if links is None else links.unionAll(found)
