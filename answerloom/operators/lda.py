@@ -33,8 +33,10 @@ DOC_STEPS = 10_000  # guard against a document whose update never settles; not r
 TABLE_PARTS_ROWS = 50_000  # words a partition of the stored table
 BLOCK_ROWS = 1_000_000  # (document, word) pairs a block, about
 SMALL_ROWS = 20_000  # pairs that are worth a block of their own while there are few
-STEP_ROWS = 200_000  # pairs that step at once, and of them
+STEP_ROWS = 400_000  # pairs that step at once, and of them
 GROUP_ROWS = 20_000  # pairs of documents of like length, as one stack
+SPARE_ROWS = 2_000  # filled up places that cost less than a stack of their own
+SHORT = 64  # words a document below which a stack is multiplied as a whole
 
 
 @dataclass(frozen=True)
@@ -67,16 +69,18 @@ def digamma(x: np.ndarray) -> np.ndarray:
     return out + np.log(x) - 0.5 / x - series
 
 
-def _alike(lengths: np.ndarray) -> Iterator[np.ndarray]:
-    """Places of documents in groups of like length, each of bounded size in all."""
-    order = np.argsort(lengths, kind="stable")
+def _alike(lengths: np.ndarray) -> Iterator[slice]:
+    """Stretches of documents, sorted by length, whose filling up to the longest costs little."""
+    ends = np.cumsum(lengths)
     first = 0
-    while first < len(order):
-        least = int(lengths[order[first]])
-        end = int(np.searchsorted(lengths[order], least + least // 4 + 4, side="right"))
-        end = min(end, first + max(1, GROUP_ROWS // least))
-        yield order[first:end]
-        first = end
+    while first < len(lengths):
+        before = ends[first - 1] if first else 0
+        held = ends[first : first + GROUP_ROWS] - before
+        full = lengths[first : first + GROUP_ROWS] * np.arange(1, len(held) + 1)
+        fits = (full - held <= np.maximum(held // 8, SPARE_ROWS)) & (full <= GROUP_ROWS)
+        last = first + max(1, len(fits) if fits.all() else int(fits.argmin()))
+        yield slice(first, last)
+        first = last
 
 
 def update_documents(place: np.ndarray, counts: np.ndarray, weights: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
@@ -85,52 +89,64 @@ def update_documents(place: np.ndarray, counts: np.ndarray, weights: np.ndarray,
     Rows are (document, word) pairs sorted by document; ``place`` is the document's number
     (0, 1, ...) of each row and ``weights`` holds exp(E[log beta]) of the row's word. Each
     document steps until its parameters change by less than ``DOC_TOLERANCE`` on average,
-    then keeps them while the others go on. Documents of like length step together as one
-    stack of matrices, the shorter ones filled up with words of count 0.
+    then keeps them while the others go on. All documents step together, those of like length
+    as one stack of matrices, the shorter ones filled up with words of count 0.
     """
     starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
     lengths = np.diff(np.r_[starts, len(place)])
-    gamma = np.ones((len(starts), weights.shape[1]))
-    add = np.empty((len(place), weights.shape[1]))
-    for group in _alike(lengths):
-        at = np.arange(lengths[group].max())
-        held = at < lengths[group, None]
-        rows = np.where(held, starts[group, None] + at, starts[group, None])
-        stack, n = weights[rows], np.where(held, counts[rows], 0.0)
-        gamma[group] = _settle(n, stack, alpha)
-        theta = _shares(gamma[group])
-        found = (n / _norms(stack, theta))[:, :, None] * theta[:, None, :] * stack
-        add[rows[held]] = found[held]
-    return gamma, add
+    gamma = _settle(starts, lengths, counts, weights, alpha)
+    theta = np.repeat(_shares(gamma), lengths, axis=0)
+    norms = np.einsum("ij,ij->i", weights, theta) + 1e-100
+    return gamma, (counts / norms)[:, None] * theta * weights
 
 
 def _shares(gamma: np.ndarray) -> np.ndarray:
-    return np.exp(digamma(gamma) - digamma(gamma.sum(axis=1))[:, None])
-
-
-def _norms(stack: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    return np.matmul(stack, theta[:, :, None])[:, :, 0] + 1e-100
-
-
-def _settle(n: np.ndarray, stack: np.ndarray, alpha: float) -> np.ndarray:
-    """Topic parameters of a stack of documents (document, word, topic); settled documents leave
-    the work once they are a quarter of it."""
-    gamma = np.ones((len(n), stack.shape[2]))
-    ids, g = np.arange(len(n)), gamma.copy()  # documents in the work
-    live = np.ones(len(n), dtype=bool)
-    for _ in range(DOC_STEPS):
-        theta = _shares(g)
-        new = alpha + theta * np.matmul((n / _norms(stack, theta))[:, None, :], stack)[:, 0, :]
-        change = np.abs(new - g).mean(axis=1)
-        g = np.where(live[:, None], new, g)
-        live &= change >= DOC_TOLERANCE
-        if live.sum() * 4 <= len(live) * 3:
-            gamma[ids] = g
-            if not live.any():
-                break
-            ids, g, n, stack = ids[live], g[live], n[live], stack[live]
-            live = np.ones(len(ids), dtype=bool)
-    gamma[ids] = g
+    topics = gamma.shape[1]
+    both = digamma(np.concatenate([gamma, gamma.sum(axis=1, keepdims=True)], axis=1))
+    return np.exp(both[:, :topics] - both[:, topics:])
+
+
+def _stack(starts: np.ndarray, lengths: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts (document, word) and weights (document, topic, word) of documents, filled up to the longest."""
+    at = np.arange(lengths.max())
+    held = at < lengths[:, None]
+    rows = np.where(held, starts[:, None] + at, starts[:, None])
+    return np.where(held, counts[rows], 0.0), np.ascontiguousarray(weights[rows].transpose(0, 2, 1))
+
+
+def _found(theta: np.ndarray, n: np.ndarray, stack: np.ndarray) -> np.ndarray:
+    """What the words of each document in a stack say for its topics, before the document's own shares."""
+    if n.shape[1] < SHORT:  # one call for each document would cost more than its words
+        ratio = np.einsum("dk,dkw->dw", theta, stack)
+        np.divide(n, ratio + 1e-100, out=ratio)
+        return np.einsum("dkw,dw->dk", stack, ratio)
+    ratio = np.matmul(theta[:, None, :], stack)[:, 0, :]
+    np.divide(n, ratio + 1e-100, out=ratio)
+    return np.matmul(stack, ratio[:, :, None])[:, :, 0]
+
+
+def _settle(starts: np.ndarray, lengths: np.ndarray, counts: np.ndarray, weights: np.ndarray, alpha: float) -> np.ndarray:
+    """Topic parameters of documents; settled ones leave the work, which is stacked anew once
+    they are a quarter of it, so that a few slow documents do not hold many small stacks."""
+    gamma = np.ones((len(starts), weights.shape[1]))
+    ids = np.argsort(lengths, kind="stable")  # documents in the work, by length
+    steps = 0
+    while len(ids) and steps < DOC_STEPS:
+        stacks = [(part, *_stack(starts[ids[part]], lengths[ids[part]], counts, weights)) for part in _alike(lengths[ids])]
+        g, live = gamma[ids], np.ones(len(ids), dtype=bool)
+        new = np.empty_like(g)
+        while steps < DOC_STEPS and live.sum() * 4 > len(live) * 3:
+            theta = _shares(g)
+            for part, n, stack in stacks:
+                new[part] = _found(theta[part], n, stack)
+            new *= theta
+            new += alpha
+            change = np.abs(new - g).mean(axis=1)
+            g = np.where(live[:, None], new, g)
+            live &= change >= DOC_TOLERANCE
+            steps += 1
+        gamma[ids] = g
+        ids = ids[live]
     return gamma
 
 
@@ -150,7 +166,7 @@ def number_words(vocabulary: DataFrame) -> DataFrame:
 
 
 def word_counts(bags: DataFrame, words: DataFrame, key: str = "id") -> DataFrame:
-    """(doc, word, n) from rows (key, token, n)."""
+    """(doc, word, n) from rows (key, token, n), of the words that have a number."""
     return bags.join(words, "token").select(F.col(key).alias("doc"), "word", F.col("n").cast("double").alias("n"))
 
 

@@ -77,11 +77,16 @@ def bag_of_words(
     A document's words are counted in its own task before the shuffle. The vocabulary may
     have any size: it is joined by word, and a word is one row a document there.
     """
-    spread_out = documents.select(key, F.explode_outer(tokens).alias("token"))
-    counted = spread_out.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+    counted = count_words(documents, key, tokens)
     return counted.join(words.select("token"), "token", "left_semi").select(key, "token", "n")
 
 
+def count_words(documents: DataFrame, key: str = "id", tokens: str = "tokens") -> DataFrame:
+    """Count of each word per document, in the vocabulary or not, as rows ``(key, token, n)``."""
+    spread_out = documents.select(key, F.explode_outer(tokens).alias("token"))
+    return spread_out.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+
+
 def word_table(spark: SparkSession, names: list[str]) -> DataFrame:
     """The words of a bounded vocabulary by ``position``."""
     positions = pa.array(range(len(names)), pa.int32())

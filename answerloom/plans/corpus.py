@@ -55,7 +55,7 @@ def topic_report(
     documents = tokens.content_words(passages, stop_words=stop_words).select("id", "tokens")
     documents = write_through(documents, "tokens")
     words = lda.number_words(tokens.vocabulary(documents))
-    counts = lda.word_counts(tokens.bag_of_words(documents, words, "id"), words, "id")
+    counts = lda.word_counts(tokens.count_words(documents, "id"), words, "id")
     model = lda.fit(counts, words, lda.Settings(topics=topics, passes=passes, seed=seed))
     described = lda.topic_words(model.table, words, topics, fixed.TOPIC_WORDS)
     leads = lda.leading_topics(model.gammas(), documents, "id", fixed.MIN_TOPIC_SHARE)

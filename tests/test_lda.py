@@ -70,6 +70,22 @@ def test_rows_without_document_stand_alone(spark):
     assert sorted((r.doc or 0, r.words) for r in documents.collect()) == [(0, [0]), (0, [1]), (5, [0, 1])]
 
 
+def test_few_documents_of_unlike_length_step_as_one():
+    rng = np.random.default_rng(3)
+    lengths = np.array([200, 3, 40, 1])
+    place = np.repeat(np.arange(4), lengths)
+    counts, weights = rng.integers(1, 5, lengths.sum()).astype(float), rng.random((lengths.sum(), 3))
+    gamma, add = lda.update_documents(place, counts, weights, 0.3)
+    for i in range(4):
+        alone, added = lda.update_document(counts[place == i], weights[place == i], 0.3)
+        assert np.allclose(gamma[i], alone, rtol=1e-12) and np.allclose(add[place == i], added, rtol=1e-12)
+    assert len(list(lda._alike(np.sort(lengths)))) == 1
+    many = np.sort(rng.integers(1, 500, 3000))
+    parts = list(lda._alike(many))
+    assert [p.start for p in parts[1:]] == [p.stop for p in parts[:-1]] and (parts[0].start, parts[-1].stop) == (0, 3000)
+    assert all(len(many[p]) * many[p].max() <= lda.GROUP_ROWS for p in parts)
+
+
 def test_topics_separate(spark):
     described, leads = plans.topic_report(small_corpus(spark).withColumnRenamed("passage", "passage"), topics=2, passes=20)
     lead = {r.id: r.topic for r in leads.collect()}
