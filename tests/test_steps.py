@@ -35,3 +35,19 @@ def test_vectors_are_dropped_once_hits_are_stored(spark, tmp_path):
     left = set(os.listdir(folder)) - before
     assert [name.split("-")[0] for name in left] == ["hits"]
     assert {(r.qid, r.pid) for r in hits.filter("rank = 1").collect()} == {(1, 3), (2, 5)}
+
+
+def test_answers_in_rounds_equal_answers_at_once(spark, monkeypatch):
+    passages = spark.createDataFrame([(i, f"word{i} common text number{i % 3}") for i in range(8)], "pid long, passage string")
+    rows = [(q if q % 9 else None, f"word{q % 8} common", f"gold {q}") for q in range(40)] + [(3, "word5 text", "again")]
+    questions = spark.createDataFrame(rows, "qid long, question string, answer string")
+    counted, seen = qa._text_rounds, []
+    monkeypatch.setattr(qa, "_text_rounds", lambda pairs, texts: seen.append(counted(pairs, texts)) or seen[-1])
+    rounds = sorted(map(str, qa.answer_reranked(passages, questions, abstain=True).collect()))
+    monkeypatch.setattr(qa, "_text_rounds", lambda pairs, texts: 1)
+    assert rounds == sorted(map(str, qa.answer_reranked(passages, questions, abstain=True).collect()))
+    assert seen[0] > 5  # eight texts are moved for forty questions
+    none = questions.filter("false")
+    monkeypatch.setattr(qa, "_text_rounds", counted)
+    assert qa.answer_reranked(passages, none).count() == 0
+    assert {r.prediction for r in qa.answer_reranked(passages.filter("false"), questions).collect()} == {""}
